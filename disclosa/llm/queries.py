@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disclosa.llm import bpe, chat, quality_rules, secrets, simhash
+from disclosa.llm import bpe, chat, covertree, quality_rules, secrets, simhash
 from disclosa.llm.common import digest, table
 
 
@@ -35,13 +35,17 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), digests=True)
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op3_bpe, op5_chat_formatting, op6_quality_rules, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_secret_scans, op3_bpe, op5_chat_formatting, op6_quality_rules, op9_embedding_near_dedup, op10_simhash_near_dedup)
 }
 
 ORACLES: dict[str, str] = {}
