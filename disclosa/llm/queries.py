@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disclosa.llm import bpe, chat, covertree, quality_rules, secrets, simhash
+from disclosa.llm import bpe, chat, covertree, mixing, pii, quality_rules, secrets, simhash
 from disclosa.llm.common import digest, table
 
 
@@ -18,6 +18,11 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest(secrets.joined(base)).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
@@ -35,6 +40,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), digests=True)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", F.size("_pii_found").cast("long").alias("n_entities"), F.array_join("_pii_found", ",").alias("kinds"))
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -45,7 +55,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op3_bpe, op5_chat_formatting, op6_quality_rules, op9_embedding_near_dedup, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_secret_scans, op3_bpe, op4_source_mixing, op5_chat_formatting, op6_quality_rules, op8_pii, op9_embedding_near_dedup, op10_simhash_near_dedup)
 }
 
 ORACLES: dict[str, str] = {}
