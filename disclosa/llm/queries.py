@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from disclosa.llm import bpe, chat, covertree, mixing, pii, quality_rules, secrets, simhash
+from disclosa.llm import bpe, chat, covertree, mixing, pii, quality_model, quality_rules, secrets, simhash, toxicity
 from disclosa.llm.common import digest, table
 
 
@@ -34,12 +34,24 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = toxicity.score_table(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", "held_out", "score", "predicted", "flagged")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return bpe.encode_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), digests=True)
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = quality_model.score_table(documents, quality_model.fit(documents, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "text", F.size("_pii_found").cast("long").alias("n_entities"), F.array_join("_pii_found", ",").alias("kinds"))
@@ -55,7 +67,19 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op3_bpe, op4_source_mixing, op5_chat_formatting, op6_quality_rules, op8_pii, op9_embedding_near_dedup, op10_simhash_near_dedup)
+    f.__name__: f
+    for f in (
+        op1_secret_scans,
+        op2_toxicity,
+        op3_bpe,
+        op4_source_mixing,
+        op5_chat_formatting,
+        op6_quality_rules,
+        op7_quality_classifier,
+        op8_pii,
+        op9_embedding_near_dedup,
+        op10_simhash_near_dedup,
+    )
 }
 
 ORACLES: dict[str, str] = {}
