@@ -25,9 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the convolutional classifier scores below 0.5; it learns from the labelled ones outside its fold."""
     docs = docs.select(*COLUMNS)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    bad = toxicity.score_table(docs, model).where("predicted = 1").select("doc_id").distinct()
-    bad = materialise(bad, "toxic")
-    return docs.join(bad, "doc_id", "left_anti").select(*COLUMNS)
+    return toxicity.scored_rows(docs, model, COLUMNS[1:]).where("score < 0.5").select(*COLUMNS)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

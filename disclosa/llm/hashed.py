@@ -91,4 +91,4 @@ def scored(documents: DataFrame, columns: str, score: Callable[[list[str | None]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(got, pa.float64())], names=[*keep, columns])
 
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"{columns} double"])
-    return documents.select(*keep, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return documents.select(*keep, F.col("text").cast("string").alias("_scored")).mapInArrow(run, schema)

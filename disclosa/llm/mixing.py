@@ -141,14 +141,14 @@ def mixed_rows(documents: DataFrame) -> DataFrame:
     by the mean of theirs, the first ones getting the remainder.
     """
     m = mix(documents)
-    same = ["doc_id", "key", "size"]
+    row_id = lambda c: F.when(c.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), c.cast("string")))
+    same = ["_id", "_key", "_size"]
     copies = sum(((F.col("before") + k * F.col("source_size")) < F.col("quota")).cast("long") for k in range(MOST))
-    starts = m.placed.where("size > 0").select(*same, copies.alias("copies"))
-    starts = materialise(starts.groupBy(*same).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")), "copies")
-    tagged = documents.withColumns({"_key": source_key(F.col("source")), "_size": F.size(words(F.col("text"))).cast("long"), "_id": F.col("doc_id")})
-    on = tagged["_id"].eqNullSafe(starts["doc_id"]) & (tagged["_key"] == starts["key"]) & (tagged["_size"] == starts["size"])
-    kept = tagged.join(starts.withColumnRenamed("copies", "_copies").withColumnRenamed("rows", "_rows"), on).drop(starts["doc_id"], starts["key"], starts["size"])
-    turn = F.when(F.col("_rows") == 1, F.lit(1)).otherwise(F.row_number().over(Window.partitionBy("_id", "_key", "_size").orderBy("text")))
+    starts = m.placed.where("size > 0").select(row_id(F.col("doc_id")).alias("_id"), F.col("key").alias("_key"), F.col("size").alias("_size"), copies.alias("copies"))
+    starts = materialise(starts.groupBy(*same).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")), "copies")
+    tagged = documents.withColumns({"_id": row_id(F.col("doc_id")), "_key": source_key(F.col("source")), "_size": F.size(words(F.col("text"))).cast("long")})
+    kept = tagged.join(starts.where("_copies > 0"), same)
+    turn = F.row_number().over(Window.partitionBy(*same).orderBy("text"))
     times = F.expr("_copies div _rows") + (F.col("_turn") <= F.col("_copies") % F.col("_rows")).cast("long")
     again = kept.withColumn("_turn", turn).withColumn("_times", times).where("_times > 0")
     return again.withColumn("_time", F.explode(F.expr("sequence(1, _times)"))).select(*documents.columns)
