@@ -98,7 +98,7 @@ def derived_subtype(report_name: Column, subtype: Column) -> Column:
 
 
 def iso_date(day: Column) -> Column:
-    return F.concat_ws("-", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2))
+    return F.when(day.isNotNull(), F.concat_ws("-", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2)))
 
 
 def later_dates(c: Column, day: Column) -> Column:

@@ -14,9 +14,9 @@ from disclosa.sources import parser
 #: A file is an order, its titles are line items in an order that holds for repeated keys too.
 KEY_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 NAMES = """CASE CAST(l_partkey AS BIGINT) % 5 WHEN 0 THEN 'II. ' WHEN 1 THEN '1. ' WHEN 2 THEN '2-1. ' WHEN 3 THEN '' ELSE '3 ' END || 'part ' || CAST(l_partkey AS VARCHAR)"""
-SQL_T = f"""t AS (SELECT l_orderkey AS f, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS at, {NAMES} AS title, CASE CAST(l_partkey AS BIGINT) % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 0 ELSE 2 END AS own FROM lineitem),
- g AS (SELECT *, sum(CASE WHEN own > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY f ORDER BY at) AS grp FROM t),
- l AS (SELECT f, at, title, own > 0 AS confident, first_value(own) OVER (PARTITION BY f, grp ORDER BY at) + row_number() OVER (PARTITION BY f, grp ORDER BY at) - 1 AS level FROM g)"""
+SQL_T = f"""t AS (SELECT l_orderkey AS f, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS pos, {NAMES} AS title, CASE CAST(l_partkey AS BIGINT) % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 0 ELSE 2 END AS own FROM lineitem),
+ g AS (SELECT *, sum(CASE WHEN own > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY f ORDER BY pos) AS grp FROM t),
+ l AS (SELECT f, pos, title, own > 0 AS confident, first_value(own) OVER (PARTITION BY f, grp ORDER BY pos) + row_number() OVER (PARTITION BY f, grp ORDER BY pos) - CASE WHEN grp = 0 THEN 0 ELSE 1 END AS level FROM g)"""
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,29 +30,29 @@ def trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.select("f", sections.fold(F.col("t"), F.col("n")).alias("r"))
 
 
-@query(f"WITH {SQL_T} SELECT a.f, a.at, a.level, a.confident, max(b.at) AS parent FROM l a LEFT JOIN l b ON a.f = b.f AND b.at < a.at AND b.level < a.level GROUP BY 1, 2, 3, 4")
+@query(f"WITH {SQL_T} SELECT a.f, a.pos AS \"at\", a.level, a.confident, max(b.pos) AS parent FROM l a LEFT JOIN l b ON a.f = b.f AND b.pos < a.pos AND b.level < a.level GROUP BY 1, 2, 3, 4")
 def section_tree_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = trees(spark, sf_dir).select("f", F.explode("r.sections").alias("s"))
     # The nearest earlier title of a smaller level is the innermost open one.
     return s.select("f", F.col("s.at").cast("long").alias("at"), F.col("s.level").cast("long").alias("level"), F.col("s.confident").alias("confident"), F.col("s.parent").cast("long").alias("parent"))
 
 
-@query(f"WITH {SQL_T} SELECT a.f, a.at, coalesce(min(b.at) - 1, max(n.n) - 1) AS end_at FROM l a LEFT JOIN l b ON a.f = b.f AND b.at > a.at AND b.level <= a.level JOIN (SELECT f, count(*) AS n FROM l GROUP BY 1) n ON n.f = a.f GROUP BY 1, 2")
+@query(f"WITH {SQL_T} SELECT a.f, a.pos AS \"at\", coalesce(min(b.pos) - 1, max(n.n) - 1) AS end_at FROM l a LEFT JOIN l b ON a.f = b.f AND b.pos > a.pos AND b.level <= a.level JOIN (SELECT f, count(*) AS n FROM l GROUP BY 1) n ON n.f = a.f GROUP BY 1, 2")
 def section_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = trees(spark, sf_dir).select("f", F.explode("r.ends").alias("e"))
     return e.select("f", F.col("e.at").cast("long").alias("at"), F.col("e.end").cast("long").alias("end_at"))
 
 
-@query(f"""WITH RECURSIVE {SQL_T}, p AS (SELECT a.f, a.at, max(b.at) AS parent FROM l a LEFT JOIN l b ON a.f = b.f AND b.at < a.at AND b.level < a.level GROUP BY 1, 2),
- r AS (SELECT f, at, parent, '' AS path FROM p WHERE parent IS NULL UNION ALL SELECT p.f, p.at, p.parent, CASE WHEN r.path = '' THEN '' ELSE r.path || ' / ' END || l.title FROM p JOIN r ON p.f = r.f AND p.parent = r.at JOIN l ON l.f = r.f AND l.at = r.at) SELECT f, at, path FROM r""")
+@query(f"""WITH RECURSIVE {SQL_T}, p AS (SELECT a.f, a.pos, max(b.pos) AS parent FROM l a LEFT JOIN l b ON a.f = b.f AND b.pos < a.pos AND b.level < a.level GROUP BY 1, 2),
+ r AS (SELECT f, pos, parent, '' AS path FROM p WHERE parent IS NULL UNION ALL SELECT p.f, p.pos, p.parent, CASE WHEN r.path = '' THEN '' ELSE r.path || ' / ' END || l.title FROM p JOIN r ON p.f = r.f AND p.parent = r.pos JOIN l ON l.f = r.f AND l.pos = r.pos) SELECT f, pos AS "at", path FROM r""")
 def hierarchy_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = trees(spark, sf_dir).select("f", F.explode("r.sections").alias("s"))
     return s.select("f", F.col("s.at").cast("long").alias("at"), F.array_join("s.hierarchy", " / ").alias("path"))
 
 
-@query(f"""WITH RECURSIVE {SQL_T}, p AS (SELECT a.f, a.at, max(b.at) AS parent FROM l a LEFT JOIN l b ON a.f = b.f AND b.at < a.at AND b.level < a.level GROUP BY 1, 2),
- r AS (SELECT p.f, p.at, p.parent, l.title AS path FROM p JOIN l ON l.f = p.f AND l.at = p.at WHERE parent IS NULL UNION ALL SELECT p.f, p.at, p.parent, r.path || ' / ' || l.title FROM p JOIN r ON p.f = r.f AND p.parent = r.at JOIN l ON l.f = p.f AND l.at = p.at),
- k AS (SELECT f, at, row_number() OVER (PARTITION BY f ORDER BY at) AS nth FROM r WHERE contains(path, 'part 1') OR contains(path, 'II. ')) SELECT f, at FROM k WHERE nth <= 3""")
+@query(f"""WITH RECURSIVE {SQL_T}, p AS (SELECT a.f, a.pos, max(b.pos) AS parent FROM l a LEFT JOIN l b ON a.f = b.f AND b.pos < a.pos AND b.level < a.level GROUP BY 1, 2),
+ r AS (SELECT p.f, p.pos, p.parent, l.title AS path FROM p JOIN l ON l.f = p.f AND l.pos = p.pos WHERE parent IS NULL UNION ALL SELECT p.f, p.pos, p.parent, r.path || ' / ' || l.title FROM p JOIN r ON p.f = r.f AND p.parent = r.pos JOIN l ON l.f = p.f AND l.pos = p.pos),
+ k AS (SELECT f, pos, row_number() OVER (PARTITION BY f ORDER BY pos) AS nth FROM r WHERE contains(path, 'part 1') OR contains(path, 'II. ')) SELECT f, pos AS "at" FROM k WHERE nth <= 3""")
 def section_keyword_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first three nodes of each file whose hierarchy or own title holds a keyword."""
     s = trees(spark, sf_dir).select("f", F.explode("r.sections").alias("s"))
@@ -125,14 +125,14 @@ def grid_expand_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("f", F.col("r").cast("long").alias("r"), F.array_join("x", "|").alias("line"))
 
 
-@query("WITH o AS (SELECT l_orderkey AS f, l_returnflag AS x, row_number() OVER w AS at, lag(l_returnflag) OVER w AS before FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)) SELECT f, string_agg(x, '|' ORDER BY at) AS line FROM o WHERE before IS NULL OR before <> x GROUP BY 1")
+@query("WITH o AS (SELECT l_orderkey AS f, l_returnflag AS x, row_number() OVER w AS pos, lag(l_returnflag) OVER w AS before FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)) SELECT f, string_agg(x, '|' ORDER BY pos) AS line FROM o WHERE before IS NULL OR before <> x GROUP BY 1")
 def dedup_adjacent(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.array_sort(F.collect_list(F.struct(*KEY_ORDER, "l_returnflag")))
     rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("f")).agg(F.transform(held, lambda x: x["l_returnflag"]).alias("cells"))
     return rows.select("f", F.array_join(distinct_neighbours(F.col("cells")), "|").alias("line"))
 
 
-@query("WITH o AS (SELECT l_orderkey AS f, l_returnflag AS x, row_number() OVER w AS at, lag(l_returnflag) OVER w AS before FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)) SELECT f, string_agg(x, ' | ' ORDER BY at) AS line FROM o WHERE before IS NULL OR before <> x GROUP BY 1")
+@query("WITH o AS (SELECT l_orderkey AS f, l_returnflag AS x, row_number() OVER w AS pos, lag(l_returnflag) OVER w AS before FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)) SELECT f, string_agg(x, ' | ' ORDER BY pos) AS line FROM o WHERE before IS NULL OR before <> x GROUP BY 1")
 def table_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.array_sort(F.collect_list(F.struct(*KEY_ORDER, "l_returnflag")))
     rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("f")).agg(F.transform(held, lambda x: x["l_returnflag"]).alias("cells"))

@@ -112,10 +112,10 @@ def extractive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WINDOWS = """l AS (SELECT doc_id, day, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\s]')) AS lines FROM d),
-    w AS (SELECT doc_id, day, lines, unnest(range(0, CAST(greatest(0, ceil((len(lines) - 12) / 8.0)) AS BIGINT) + 1)) AS at FROM l WHERE len(lines) > 0)"""
+    w AS (SELECT doc_id, day, lines, unnest(range(0, CAST(greatest(0, ceil((len(lines) - 12) / 8.0)) AS BIGINT) + 1)) AS win FROM l WHERE len(lines) > 0)"""
 
 
-@query(f"WITH d AS ({DATED}), {WINDOWS} SELECT doc_id, at, sha256(array_to_string(lines[at * 8 + 1 : at * 8 + 12], chr(10))) AS sha FROM w")
+@query(f"WITH d AS ({DATED}), {WINDOWS} SELECT doc_id, win AS \"at\", sha256(array_to_string(list_slice(lines, win * 8 + 1, win * 8 + 12), chr(10))) AS sha FROM w")
 def chunk_lines_12_8(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = chunks(spark, sf_dir).select("doc_id", F.posexplode(line_windows(F.col("text"))).alias("at", "piece"))
     return cut.select("doc_id", F.col("at").cast("long").alias("at"), F.sha2(F.col("piece").cast("binary"), 256).alias("sha"))
@@ -131,7 +131,7 @@ def index_union_past_future(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.groupBy("past").agg(F.count_distinct("doc_id").alias("n_documents"), F.count("*").alias("n_chunks"))
 
 
-@query(f"WITH d AS ({DATED}), {WINDOWS} SELECT 'C1:D' || lpad(doc_id::VARCHAR, 6, '0') || ':' || lpad(at::VARCHAR, 3, '0') AS chunk_id, doc_id FROM w WHERE day <= '{DAY}'")
+@query(f"WITH d AS ({DATED}), {WINDOWS} SELECT 'C1:D' || lpad(doc_id::VARCHAR, 6, '0') || ':' || lpad(win::VARCHAR, 3, '0') AS chunk_id, doc_id FROM w WHERE day <= '{DAY}'")
 def chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = chunks(spark, sf_dir).where(F.col("document_date") <= DAY).withColumns({"document_id": F.concat(F.lit("D"), F.lpad(F.col("doc_id").cast("string"), 6, "0")), "title": F.col("source"), "source_type": F.col("lang")})
     return search.index_chunks(docs).select("chunk_id", "doc_id")

@@ -199,14 +199,14 @@ def footnotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(literal(spark, *NOTES), note=t.is_footnote(F.col("x")))
 
 
-@query("""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents), f AS (SELECT doc_id, lines, list_position(list_transform(lines, lambda x: contains(x, 'the') AND contains(x, '.')), true) AS at FROM l)
- SELECT doc_id, array_to_string(lines[at : at + 1], chr(10)) AS block FROM f WHERE at > 0""")
+@query("""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents), f AS (SELECT doc_id, lines, list_position(list_transform(lines, lambda x: contains(x, 'the') AND contains(x, '.')), true) AS pos FROM l)
+ SELECT doc_id, array_to_string(list_slice(lines, pos, pos + 1), chr(10)) AS block FROM f WHERE pos > 0""")
 def first_match_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", t.block(F.col("text"), ["the", "."], 2).alias("block")).where("block is not null")
 
 
-@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS at FROM documents),
- s AS (SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY at) AS total FROM l) SELECT doc_id, count(*) AS n_lines, max(total)::BIGINT AS n_chars FROM s WHERE total <= 2000 GROUP BY 1""")
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+ s AS (SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos) AS total FROM l) SELECT doc_id, count(*) AS n_lines, max(total)::BIGINT AS n_chars FROM s WHERE total <= 2000 GROUP BY 1""")
 def prefix_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of each document that fit a budget of characters: a fold over the document's own lines, without a shuffle."""
     lines = F.split("text", "\n")
