@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from disclosa.llm import bpe, chat, covertree, mixing, pii, quality_model, quality_rules, secrets, simhash, toxicity
 from disclosa.llm.common import digest, table
+from disclosa.llm.oracles import ORACLES as ORACLES
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secrets.scan(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE_RULES))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{r.kind}") for k, r in enumerate(secrets.BASE_RULES)]
+    count = lambda k: F.size(F.filter("spans", lambda s: s["rank"] == k)).cast("long")
+    counts = [count(k).alias(f"n_{r.kind}") for k, r in enumerate(secrets.BASE_RULES)]
     return found.select("doc_id", *counts, digest(secrets.joined(base)).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
 
 
@@ -81,5 +83,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_simhash_near_dedup,
     )
 }
-
-ORACLES: dict[str, str] = {}
