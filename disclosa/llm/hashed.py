@@ -53,7 +53,8 @@ def training_rows(documents: DataFrame, labels: DataFrame, label: str, learn: tu
     for y in (0, 1):
         part = usable.where(F.col("y") == y).orderBy("_order", "doc_id").limit(per_class).select("doc_id", "y")
         chosen = part if chosen is None else chosen.unionByName(part)
-    return documents.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
+    named = documents if "lang" in documents.columns else documents.withColumn("lang", F.lit(None).cast("string"))
+    return named.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
 
 
 def fold(modulus: int):  # noqa: ANN201
