@@ -1,0 +1,45 @@
+"""Each query with SQL gives the SQL's rows; the pipeline runs stage by stage."""
+
+import duckdb  # noqa: F401
+import pytest
+from oracle import compare, connect
+
+import corpus_pipeline
+from disclosa.llm import pii, queries, simhash, toxicity
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, sf_dir, con, name):
+    assert compare(queries.QUERIES[name](spark, sf_dir), con, queries.ORACLES[name]) == ""
+
+
+def test_every_operator_has_one_query():
+    assert sorted(int(q.split("_")[0][2:]) for q in queries.QUERIES) == list(range(1, 11))
+
+
+def test_pipeline_stages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stage(spark, docs, sf_dir)
+        kept[name] = (before, docs)
+    cols = corpus_pipeline.COLUMNS
+    assert all(out.columns == cols for name, (_, out) in kept.items() if name != "bpe")
+    before, out = kept["toxicity"]
+    model = toxicity.fit(before, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    good = {r.doc_id for r in toxicity.score_table(before, model).collect() if r.predicted == 0}
+    assert sorted(r.doc_id for r in out.collect()) == sorted(good)
+    before, out = kept["simhash_near_dedup"]
+    assert sorted(r.doc_id for r in out.collect()) == sorted({r.component_id for r in simhash.near_duplicates(before).collect()})
+    before, out = kept["pii"]
+    assert out.count() == before.count() and out.where(f"text rlike '{pii.EMAIL}' and not text rlike '@[a-z]+[.]example'").count() == 0
+    before, out = kept["source_mixing"]
+    texts = {r.doc_id: r.text for r in before.collect()}
+    assert all(texts[r.doc_id] == r.text for r in out.collect())
+    before, out = kept["bpe"]
+    assert sorted((r.doc_id, r.decoded) for r in out.collect()) == sorted((r.doc_id, r.text) for r in before.collect())
