@@ -35,7 +35,7 @@ def nodes(parsed: DataFrame) -> DataFrame:
     placed = joined.select(
         "doc_id", "rel_path", "order_index", "kind", "text", "caption", "cells", node_id(F.col("order_index")).alias("node_id"), above.alias("section_hierarchy"),
         F.when(is_section, F.col("level")).alias("level"), F.when(is_section, F.col("confident")).alias("level_confident"),
-        F.when(is_section, F.coalesce(node_id(F.col("parent")), F.lit("ROOT"))).alias("parent_section_id"),
+        F.when(is_section, F.when(F.col("parent").isNull(), "ROOT").otherwise(node_id(F.col("parent")))).alias("parent_section_id"),
         F.when(is_section, F.col("end_order_index")).alias("end_order_index"),
         F.when(F.col("kind") == "paragraph", is_footnote(F.col("text")) & F.col("plain")).alias("is_footnote_like"),
     )
