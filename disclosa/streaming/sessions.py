@@ -53,6 +53,10 @@ def points(actions: DataFrame) -> DataFrame:
     return actions.groupBy("session_id").applyInPandasWithState(run, RESULT, "points int, decided boolean", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
-def run_once(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Writes what there is to a Parquet table and ends."""
-    stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def run_once(stream: DataFrame, path: str, checkpoint: str, one_batch: bool = False) -> None:
+    """Writes what there is to a Parquet table and ends.
+
+    one_batch: for processors with processing-time timeouts, which otherwise ask for another empty batch forever.
+    """
+    trigger = {"once": True} if one_batch else {"availableNow": True}
+    stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger).start().awaitTermination()

@@ -191,7 +191,7 @@ def test_streamed_points_equal_the_batch(spark, tmp_path):
 
     rows = spark.createDataFrame([(s, k, a) for s in (1, 2) for k, a in enumerate(["research", "replay", "decision", "replay", "oops"])], "session_id long, seq long, action string")
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
-    streaming.run_once(streaming.points(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "c"))
+    streaming.run_once(streaming.points(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "c"), one_batch=True)
     assert sorted(spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(sessions.points(rows).collect())
 
 
