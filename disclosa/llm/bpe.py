@@ -28,7 +28,11 @@ from pyspark.sql import functions as F
 #: Fixed value: the published pattern that cuts a text into words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words that a Python worker keeps the tokens of.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 300_000
+#: Bytes of a word that is merged in a list.
+SHORT = 64
+#: Characters of the texts whose new words are encoded together, about; a longer text is a group by itself.
+GROUP_CHARS = 400_000
 NEVER = np.iinfo(np.int64).max
 
 
@@ -112,8 +116,20 @@ class Merger:
         return ok
 
     def exact(self, word: bytes) -> list[int]:
-        """Merges by rank, then place, with a heap over a linked list."""
+        """Merges by rank, then place: in a list for usual words, with a heap over a linked list for long ones."""
         ids: list[int] = [self.single[b] for b in word]
+        if len(ids) <= SHORT:
+            get, none = self.merges.get, (NEVER, -1)
+            pairs = [get(x, none) for x in zip(ids, ids[1:])]
+            while pairs and (best := min(pairs))[0] < NEVER:
+                k = pairs.index(best)
+                ids[k : k + 2] = [best[1]]
+                del pairs[k]
+                if k:
+                    pairs[k - 1] = get((ids[k - 1], ids[k]), none)
+                if k < len(pairs):
+                    pairs[k] = get((ids[k], ids[k + 1]), none)
+            return ids
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         heap = [(m[0], k, ids[k], ids[k + 1]) for k in range(len(ids) - 1) if (m := self.merges.get((ids[k], ids[k + 1])))]
         heapq.heapify(heap)
@@ -167,20 +183,32 @@ class Encoder:
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(merger.specials, key=len, reverse=True))) + ")") if merger.specials else None
 
     def encode(self, text: str) -> list[int]:
-        parts = self.special.split(text) if self.special else [text]
-        out: list[int] = []
-        for k, part in enumerate(parts):
-            if k % 2:
-                out.append(self.merger.specials[part])
-            elif part:
-                words = self.words.findall(part)
-                if new := [w for w in set(words) if w not in self.ids]:
-                    if len(self.ids) + len(new) > KEPT_WORDS:
-                        self.ids.clear()
-                        new = list(set(words))
-                    self.ids.update(zip(new, map(tuple, self.merger.encode_words(new)), strict=True))
-                out.extend(chain.from_iterable(map(self.ids.__getitem__, words)))
-        return out
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+        """The tokens of each text. Groups of texts share one call of encode_words, as its tests are vectorised."""
+        at = 0
+        while at < len(texts):
+            split, chars = [], 0
+            while at < len(texts) and chars < GROUP_CHARS:
+                parts = self.special.split(texts[at]) if self.special else [texts[at]]
+                split.append([p if k % 2 else self.words.findall(p) for k, p in enumerate(parts)])
+                chars += len(texts[at])
+                at += 1
+            seen = set(chain.from_iterable(p for parts in split for p in parts[::2]))
+            if len(self.ids) + len(new := [w for w in seen if w not in self.ids]) > KEPT_WORDS:
+                self.ids.clear()
+                new = list(seen)
+            if new:
+                self.ids.update(zip(new, map(tuple, self.merger.encode_words(new)), strict=True))
+            for parts in split:
+                out: list[int] = []
+                for k, p in enumerate(parts):
+                    if k % 2:
+                        out.append(self.merger.specials[p])
+                    else:
+                        out.extend(chain.from_iterable(map(self.ids.__getitem__, p)))
+                yield out
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.merger.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -213,8 +241,7 @@ def encode_table(documents: DataFrame, vocabulary: str, digests: bool = False) -
         names = [str(t) for t in range(coder.merger.size)]
         for batch in batches:
             rows: list[tuple] = []
-            for text in batch.column(1):
-                ids = coder.encode(text.as_py() or "")
+            for ids in coder.encode_all([t.as_py() or "" for t in batch.column(1)]):
                 back = coder.decode(ids)
                 if digests:
                     rows.append((len(ids), hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
