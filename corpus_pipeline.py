@@ -31,10 +31,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each component of near copies."""
     docs = docs.select(*COLUMNS)
-    kept = simhash.near_duplicates(docs).where("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    kept = materialise(kept, "kept")
-    first = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    return first.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    stays = F.bool_or(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    gone = simhash.near_duplicates(docs).groupBy("doc_id").agg(stays.alias("stays")).where("not stays").select("doc_id")
+    # The ids that go are fewer than those that stay; while they are few, the texts are not shuffled.
+    return docs.join(materialise(gone, "gone"), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
