@@ -2,8 +2,8 @@
 
 Slot i of the mix goes to the source whose share of the cumulative targets holds the golden-ratio point frac(i / phi);
 the r-th slot of a source takes the r-th block of equal word count from the source's documents in a keyed random order,
-read twice over where the target asks for it. Ranks and places are prefix sums in two levels (small buckets, then
-buckets within a source), so no source is ever sorted or summed in one task.
+read twice over where the target asks for it. Ranks and places are prefix sums in levels (small buckets, chunks of
+buckets, chunks of a source), so no source is ever sorted or summed in one task.
 
 A null text has size 0 and is never taken; the null source is a source of its own and comes last; rows are placed one by
 one, so repeated rows and ids are separate documents; an empty table gives an empty result; further columns of the input
@@ -23,8 +23,10 @@ from disclosa.llm.common import materialise, words
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Words of a block at most, and slots of a mix at least (small corpora get smaller blocks).
 BLOCK_WORDS, SLOTS = 4096, 16384
-#: Rows of a bucket of documents, and slots of a bucket of slots.
-BUCKET_ROWS, BUCKET_SLOTS = 2048, 256
+#: Rows of a bucket of documents, and slots of a bucket of slots, about.
+BUCKET_ROWS, BUCKET_SLOTS = 512, 256
+#: Buckets whose sums are added up in one window.
+CHUNK = 4096
 #: Fixed value: 2^32 over the golden ratio.
 GOLDEN, UNIT = 2654435769, 1 << 32
 KEY = "mix-1"
@@ -63,9 +65,11 @@ def order_hash(doc_id: Column) -> Column:
 def two_level(rows: DataFrame, bucket: str, amount: Column, order: list[Column]) -> DataFrame:
     """rows(key, bucket, ...) with row (its number in the bucket) and before (the amounts of a key's earlier rows)."""
     within = Window.partitionBy("key", bucket).orderBy(*order)
-    sums = rows.groupBy("key", bucket).agg(F.sum(amount).alias("amount"))
-    earlier = Window.partitionBy("key").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("key", bucket, F.coalesce(F.sum("amount").over(earlier), F.lit(0)).alias("start"))
+    sums = rows.groupBy("key", bucket).agg(F.sum(amount).alias("amount")).withColumn("_chunk", F.expr(f"{bucket} div {CHUNK}"))
+    earlier = Window.partitionBy("key", "_chunk").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy("key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = sums.groupBy("key", "_chunk").agg(F.sum("amount").alias("_sum")).select("key", "_chunk", F.coalesce(F.sum("_sum").over(above), F.lit(0)).alias("_above"))
+    starts = sums.join(chunks, ["key", "_chunk"]).select("key", bucket, (F.col("_above") + F.coalesce(F.sum("amount").over(earlier), F.lit(0))).alias("start"))
     inside = F.coalesce(F.sum(amount).over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = rows.withColumns({"row": F.row_number().over(within), "inside": inside})
     return placed.join(starts, ["key", bucket]).withColumn("before", F.col("start") + F.col("inside")).drop("start", "inside")
