@@ -87,6 +87,8 @@ class Tree:
         for _ in range(4):  # wider nodes hold points too far apart to be dropped or counted whole
             self._cover(radius)
             radius *= 2
+            if len(self.centres[-1]) > 0.95 * len(self.centres[-2]) and len(self.centres) > 2:
+                break  # a level that hardly joins nodes costs more than it saves
         self.below = [np.arange(n)]  # for each level, the node that a point lies in
         for order, starts in self.members[1:]:
             node = np.empty(len(order), dtype=np.int64)
@@ -99,16 +101,18 @@ class Tree:
         owner, far, open_, chosen = np.full(len(under), -1), np.zeros(len(under)), np.arange(len(under)), []
         while len(open_):
             cand = open_[:256]
-            d = chord(x[cand] @ x[open_].T)
-            d[np.arange(len(cand)), np.arange(len(cand))] = 0.0
-            take = []
+            cos = x[cand] @ x[open_].T
+            cos[np.arange(len(cand)), np.arange(len(cand))] = 1.0
+            near = cos[:, : len(cand)] >= 1.0 - radius**2 / 2
+            take, taken = [], np.zeros(len(cand), dtype=bool)
             for k in range(len(cand)):
-                if not take or d[take, k].min() > radius:
+                if not taken[k]:
                     take.append(k)
-            own = d[take]
-            nearest = own.argmin(axis=0)
-            got = own[nearest, np.arange(len(open_))]
-            inside = got <= radius
+                    taken |= near[k]
+            own = cos if len(take) == len(cand) else cos[take]
+            nearest = own.argmax(axis=0)
+            got = chord(own[nearest, np.arange(len(open_))])
+            inside = own[nearest, np.arange(len(open_))] >= 1.0 - radius**2 / 2
             owner[open_[inside]] = len(chosen) + nearest[inside]
             far[open_[inside]] = got[inside]
             chosen += [int(cand[k]) for k in take]
