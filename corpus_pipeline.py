@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each component of near copies."""
+    """The document with the smallest doc_id of each component of near copies, by fingerprints or by five-word shingles."""
     docs = docs.select(*COLUMNS)
     stays = F.bool_or(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     gone = simhash.near_duplicates(docs).groupBy("doc_id").agg(stays.alias("stays")).where("not stays").select("doc_id")

@@ -64,7 +64,7 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingles=False)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 

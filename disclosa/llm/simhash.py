@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from disclosa.llm import similar
 from disclosa.llm.common import materialise
 from disclosa.llm.components import components
 
@@ -167,11 +168,28 @@ def links(nodes: DataFrame) -> DataFrame:
     return buckets(nodes).select("fps").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """doc_id, fp, component_id (smallest doc_id reachable over links of at most two bits) for every row."""
-    prints = materialise(fingerprints(documents), "prints")
+def same_texts(documents: DataFrame, prints: DataFrame) -> DataFrame:
+    """a, b: fingerprints of prints(doc_id, fp, node, ...) whose texts have equal or similar sets of shingles."""
+    of = materialise(prints.groupBy("node", "fp").agg(F.lit(1)).select("node", "fp"), "fp-of")
+    least = of.groupBy("node").agg(F.min("fp").alias("least"))
+    equal = of.join(least, "node").where("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b"))
+    near = similar.links(documents, prints)
+    one, two = (least.select(F.col("node").alias(n), F.col("least").alias(f"_{n}")) for n in ("a", "b"))
+    return equal.unionByName(near.join(one, "a").join(two, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+
+
+def near_duplicates(documents: DataFrame, shingles: bool = True) -> DataFrame:
+    """doc_id, fp, component_id (smallest doc_id reachable over links) for every row.
+
+    Links are fingerprints of at most two bits' distance and, with shingles, texts whose sets of five-word shingles have
+    a Jaccard similarity of 0.8 or more.
+    """
+    prints = materialise(similar.prints(documents, fingerprint) if shingles else fingerprints(documents), "prints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    labels = components(links(nodes.select("fp"))).select(F.col("node").alias("fp"), "component")
+    found = links(nodes.select("fp"))
+    if shingles:
+        found = found.unionByName(same_texts(documents, prints))
+    labels = components(found).select(F.col("node").alias("fp"), "component")
     named = materialise(nodes.join(labels, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component")), "named")
     smallest = materialise(named.groupBy("component").agg(F.min("least").alias("component_id")), "smallest")
     of = materialise(named.join(smallest, "component").select("fp", "component_id"), "of")

@@ -198,6 +198,32 @@ def test_simhash_divides_full_buckets_and_loses_no_pair(spark):
     assert all(frozenset((a, b)) in together for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 2)
 
 
+def test_similar_texts_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    base = [[f"w{x}" for x in rng.integers(0, 3000, rng.integers(20, 160))] for _ in range(30)]
+    texts = [*TEXTS, None, "one two", "One  TWO"]
+    for b in base:
+        for _ in range(4):
+            t = list(b)
+            for _ in range(int(rng.integers(1, 5))):
+                t[int(rng.integers(len(t)))] = f"v{rng.integers(1000)}"
+            texts.append(" ".join(t))
+    texts += [" ".join([*base[0], *[f"x{k % 7}y{k}" for k in range(25 * (k0 % 3))], f"z{k0}"]) for k0 in range(60)]  # one key in many rows
+    table = spark.createDataFrame([(k if k != 15 else None, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if (w := (t or "").lower().encode().split()) else frozenset() for t in texts]
+    alike = lambda a, b: a == b or 5 * len(a & b) >= 4 * len(a | b)
+    prints = [fingerprint_of(t) for t in texts]
+    bits = [(i, j) for j in range(len(texts)) for i in range(j) if (prints[i] ^ prints[j]).bit_count() <= 2]
+    words = [(i, j) for j in range(len(texts)) for i in range(j) if alike(sets[i], sets[j])]
+    both = least_of_each(len(texts), bits + words)
+    assert len(set(both)) < len(set(least_of_each(len(texts), bits)))  # links of two bits alone leave near copies
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(table).collect()}
+    named = {c: min(k for k, x in enumerate(both) if x == c and k != 15) for c in both}
+    assert got == {k if k != 15 else None: named[c] for k, c in enumerate(both)}
+    narrow = {r.doc_id for r in simhash.near_duplicates(table, shingles=False).collect() if r.doc_id == r.component_id}
+    assert len(narrow) > len(set(named.values()))
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_gray_index_finds_all_pairs(seed):
     rng = np.random.default_rng(seed)
