@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from disclosa.functions.text import amount, strip
 
+#: Queries and vectors of a block, about.
+QUERIES, VECTORS = 512, 4096
+
 
 def cosine(a: Column, b: Column) -> Column:
     total = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
@@ -15,10 +20,51 @@ def cosine(a: Column, b: Column) -> Column:
     return dot / (norm(a) * norm(b))
 
 
+def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Cosines of all rows of q and v, added up in the order of the dimensions, so that equal vectors give equal scores."""
+    total = lambda a, b: sum((a[d] * b[d] for d in range(len(a))), start=np.zeros(1))
+    norm = lambda x: np.sqrt(total(x.T, x.T))
+    return total(q.T[:, :, None], v.T[:, None, :]) / (norm(q)[:, None] * norm(v)[None, :])
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """query_id, vec_id, score, rank: the k most similar vectors of each query; the query set is small and broadcast."""
-    both = vectors.join(F.broadcast(queries.withColumnRenamed("embedding", "_q")), F.lit(True))
-    scored = both.select("query_id", "vec_id", cosine(F.col("embedding"), F.col("_q")).alias("score"))
+    """query_id, vec_id, score, rank: the k most similar vectors of each query.
+
+    Every block of queries meets every block of vectors; each pair of blocks gives k vectors a query at most, and only
+    those are ranked. Vectors without a cosine (null, empty, with a null, of length 0 or not finite) are left out, and
+    vectors of different dimensions do not meet.
+    """
+    clean = F.transform("embedding", lambda x: x.cast("double"))
+    good = F.aggregate(clean, F.lit(0.0), lambda s, x: s + x * x).between(F.lit(5e-324), F.lit(1.7976931348623157e308))
+    ids = {"vec_id": vectors.schema["vec_id"].dataType.simpleString(), "query_id": queries.schema["query_id"].dataType.simpleString()}
+
+    def side(df: DataFrame, key: str, size: int, other: str, n_other: int) -> tuple[DataFrame, int]:
+        held = df.select(key, clean.alias("x")).where(good)
+        n = max(1, -(-df.count() // size))
+        block = F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+        return held.withColumns({"dim": F.size("x"), key[0]: block, other: F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))}), n
+
+    n_queries = max(1, -(-queries.count() // QUERIES))
+    v, n_vectors = side(vectors, "vec_id", VECTORS, "q", n_queries)
+    q, _ = side(queries, "query_id", QUERIES, "v", n_vectors)
+
+    def best(one: pa.Table, two: pa.Table) -> pa.Table:
+        found = [[], [], []]
+        if one.num_rows and two.num_rows:
+            two = two.sort_by("vec_id")
+            matrix = lambda t: t.column("x").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
+            x, y = matrix(one), matrix(two)
+            for at in range(0, len(x), 32):
+                scores = _scores(x[at : at + 32], y)
+                top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+                found[0].append(np.repeat(np.arange(at, at + len(top)), top.shape[1]))
+                found[1].append(top.ravel())
+                found[2].append(np.take_along_axis(scores, top, axis=1).ravel())
+        i, j, score = (np.concatenate(f) if f else np.zeros(0, dtype=np.int64) for f in found)
+        return pa.table({"query_id": one.column("query_id").take(pa.array(i)), "vec_id": two.column("vec_id").take(pa.array(j)), "score": pa.array(score, type=pa.float64())})
+
+    met = ["v", "q", "dim"]
+    scored = q.groupBy(*met).cogroup(v.groupBy(*met)).applyInArrow(best, f"query_id {ids['query_id']}, vec_id {ids['vec_id']}, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

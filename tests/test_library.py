@@ -200,3 +200,27 @@ def test_pack_mutations(spark):
     make = lambda *r: spark.createDataFrame([("C", "E", *r)], "case_id string, evidence_id string, document_id string, text string, source_text string")
     problem = lambda *r: grounding.grounding(make(*r), docs).first().problem
     assert [problem("D1", "1000", "자본 1,000"), problem("D2", "1", "x"), problem("D1", "1", "없음"), problem("D1", "2000", "자본 1,000")] == [None, "ref", "grounding", "numbers"]
+
+
+def test_every_twentieth_vector_is_a_query(spark, sf_dir, monkeypatch):
+    import numpy as np
+
+    from disclosa.operators import planned
+    from disclosa.plans import catalog
+
+    monkeypatch.setattr(planned, "QUERIES", 4)
+    monkeypatch.setattr(planned, "VECTORS", 64)  # many blocks
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
+    v = {r.vec_id: np.array(r.embedding, dtype=float) for r in rows}
+    cos = lambda a, b: float(a @ b / np.sqrt(a @ a) / np.sqrt(b @ b))
+    want = {q: sorted((-round(cos(v[q], x), 9), k) for k, x in v.items())[:10] for q in v if q % 20 == 0}
+    got = catalog.queries()["cosine_topk_20th"](spark, sf_dir).collect()
+    assert len(want) > 5 and {(r.query_id, r["rank"]): r.vec_id for r in got} == {(q, n): k for q, top in want.items() for n, (_, k) in enumerate(top, 1)}
+
+
+def test_vectors_without_a_cosine_are_left_out(spark):
+    from disclosa.operators import planned
+
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [0.0, 0.0]), (4, None), (5, [1.0, None]), (6, [1.0]), (7, [float("nan"), 1.0])], "vec_id long, embedding array<double>")
+    got = planned.nearest(vectors, vectors.withColumnRenamed("vec_id", "query_id"), 5).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == [(1, 1, 1), (1, 2, 2), (2, 1, 2), (2, 2, 1), (6, 1, 6)]
