@@ -257,17 +257,64 @@ def test_vectors_equal_brute_force(spark):
     assert covertree.near_duplicates(table.limit(0)).count() == 0
 
 
+def tree(x, w, least=0.95):
+    return covertree.Tree(x, w, *covertree.cover(x, float(covertree.chord(np.float64(least)))))
+
+
+def near_points(rng, n, noise, dim=64, centres=3):
+    x = rng.normal(size=(centres, dim))[rng.integers(0, centres, n)]
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) + noise * rng.normal(size=x.shape)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 @pytest.mark.parametrize(("noise", "two"), [(0.02, False), (0.035, True), (0.035, False), (0.0, True)])
-def test_cover_tree_counts_equal_brute_force(noise, two):
+def test_cover_tree_counts_equal_brute_force(noise, two, monkeypatch):
+    monkeypatch.setattr(covertree, "CHUNK", 500)
     rng = np.random.default_rng(5)
-    x = rng.normal(size=(3, 64))[rng.integers(0, 3, 400)]
-    x = x / np.linalg.norm(x, axis=1, keepdims=True) + noise * rng.normal(size=x.shape)
-    x = x / np.linalg.norm(x, axis=1, keepdims=True)
-    side, w = (rng.integers(0, 2, 400) if two else np.zeros(400, int)), rng.integers(1, 4, 400)
-    links, _ = covertree.pair_links(x, w, side, 0.95)
+    x, w = near_points(rng, 400, noise), rng.integers(1, 4, 400)
     near = x @ x.T >= 0.95
-    near &= side[:, None] != side[None, :] if two else ~np.eye(400, dtype=bool)
+    if two:
+        links, root = covertree.pair_links(tree(x[:150], w[:150]), tree(x[150:], w[150:]), 0.95)
+        near[:150, :150] = near[150:, 150:] = False
+    else:
+        links, root = covertree.own_links(tree(x, w), 0.95)
+        near &= ~np.eye(400, dtype=bool)
     assert (links == near @ w).all()
+    assert root.tolist() == least_of_each(400, np.argwhere(near).tolist())
+
+
+def test_trees_of_every_depth_meet():
+    rng = np.random.default_rng(6)
+    blocks = [np.concatenate([near_points(rng, 60, noise, centres=c), rng.normal(size=(20, 64)) / 8]) for noise, c in ((0.0, 60), (0.006, 3), (0.012, 3), (0.02, 2), (0.03, 1))]
+    centre = near_points(rng, 1, 0.0)
+    blocks.append(centre + np.repeat([[0.002], [0.01], [0.02], [0.04]], 40, axis=0) * rng.normal(size=(160, 64)))
+    shared = rng.normal(size=(2, 64))
+    blocks = [np.concatenate([b, shared + 0.01 * rng.normal(size=(2, 64))]) for b in blocks]
+    blocks = [b / np.linalg.norm(b, axis=1, keepdims=True) for b in blocks]
+    trees = [tree(b, np.ones(len(b), dtype=np.int64)) for b in blocks]
+    assert {len(t.centres) for t in trees} >= {3, 4, 5}
+    for a in trees:
+        for b in trees:
+            links, _ = covertree.pair_links(a, b, 0.95)
+            near = a.points @ b.points.T >= 0.95
+            assert (links == np.concatenate([near.sum(axis=1), near.sum(axis=0)])).all()
+
+
+def test_vectors_in_many_cells_and_blocks_with_null_and_repeated_ids(spark):
+    rng = np.random.default_rng(9)
+    v = np.concatenate([near_points(rng, 150, 0.03, 16, 6), near_points(rng, 100, 0.004, 16, 2), rng.normal(size=(50, 16))])
+    rows = [(None if k % 29 == 0 else k // 2 if k % 10 < 2 else k, [float(y) for y in x]) for k, x in enumerate(v.astype(np.float32))]
+    rows += [(None, rows[3][1]), (7, rows[3][1]), (None, None), (5, [float(k == 3) for k in range(16)]), (5, [2.5] * 3)]
+    rng.shuffle(rows)
+    good = [k for k, r in enumerate(rows) if r[1]]
+    unit = [np.array(x) / np.linalg.norm(x) if x else None for _, x in rows]
+    links = [(a, b) for a in good for b in good if a < b and len(unit[a]) == len(unit[b]) and (rows[a][1] == rows[b][1] or unit[a] @ unit[b] >= 0.95)]
+    root = least_of_each(len(rows), links)
+    ids = {c: min((r[0] for r, x in zip(rows, root, strict=True) if x == c and r[0] is not None), default=None) for c in root}
+    want = [(r[0], sum(k in x for x in links), ids[root[k]], r[0] == ids[root[k]]) for k, r in enumerate(rows)]
+    table = spark.createDataFrame([(i, x, "z") for i, x in rows], "vec_id long, embedding array<float>, key string")
+    got = covertree.near_duplicates(table, block=20).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
 def test_mix_meets_targets(docs, none):
