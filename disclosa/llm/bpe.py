@@ -7,7 +7,8 @@ test looks up every pair of such pieces among the merges. Only words with a fail
 
 A null text counts as empty and has no tokens; control strings of the vocabulary are their own tokens, as in the
 tokenizers library; texts are encoded whole, whatever their length; repeated rows each get their tokens; an empty table
-gives an empty result; further columns of the input are ignored.
+gives an empty result; further columns of the input are ignored. A worker holds the texts of one Arrow batch, the output of
+about GROUP_CHARS characters and what it knows of KEPT_WORDS words.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import hashlib
 import heapq
 import json
 import pickle
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -28,11 +29,11 @@ from pyspark.sql import functions as F
 #: Fixed value: the published pattern that cuts a text into words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words that a Python worker keeps the tokens of.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 200_000
 #: Bytes of a word that is merged in a list.
 SHORT = 64
-#: Characters of the texts whose new words are encoded together, about; a longer text is a group by itself.
-GROUP_CHARS = 400_000
+#: Characters of the texts whose new words are encoded together and whose rows leave together, about; a longer text is a group by itself.
+GROUP_CHARS = 1_000_000
 NEVER = np.iinfo(np.int64).max
 
 
@@ -43,6 +44,40 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+class Probe:
+    """A table from non-negative 62-bit keys to values, looked up a whole array at a time; -1 where there is none."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, -1, dtype=np.int32)
+        slot = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[slot] < 0)
+            _, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            self.keys[slot[put]], self.values[slot[put]] = keys[put], values[put]
+            rest = np.ones(len(keys), dtype=bool)
+            rest[put] = False
+            keys, values, slot = keys[rest], values[rest], (slot[rest] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys)
+        held = self.keys[slot]
+        out = np.where(held == keys, self.values[slot], -1)
+        open_ = np.flatnonzero((held != keys) & (held >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & self.mask
+            held = self.keys[slot[open_]]
+            hit = held == keys[open_]
+            out[open_[hit]] = self.values[slot[open_[hit]]]
+            open_ = open_[~hit & (held >= 0)]
+        return out
+
+
 class Merger:
     """Tokens, merges and the tables for seams of one vocabulary file (JSON of the tokenizers library)."""
 
@@ -70,13 +105,28 @@ class Merger:
         #: Seams can be tested if a merge always comes after those of its halves and makes a token in one way.
         self.testable = len(halves) == len(self.merges) and all(r > max(rank[a], rank[b]) for (a, b), (r, _) in self.merges.items())
         keys = np.array([a * self.size + b for a, b in self.merges], dtype=np.int64)
-        order = np.argsort(keys)
-        self.keys, self.key_rank = keys[order], np.array([r for r, _ in self.merges.values()], dtype=np.int64)[order]
+        self.ranks = Probe(keys, np.array([r for r, _ in self.merges.values()], dtype=np.int32))
+        self.made = np.zeros(len(pairs) + 1, dtype=np.int32)
+        self.made[[r for r, _ in self.merges.values()]] = [t for _, t in self.merges.values()]
+        self.byte_id = np.zeros(256, dtype=np.int32)
+        self.byte_id[list(self.single)] = list(self.single.values())
         self.right, self.right_until = self._spines(halves, rank, 1)
         self.left, self.left_until = self._spines(halves, rank, 0)
         # A token that its own bytes don't merge into is never a guess.
         self.guess = {self.bytes_of[v]: v for v in names.values() if self.exact(self.bytes_of[v]) == [v]}
         self.longest = max(map(len, self.guess))
+        nodes: dict[tuple[int, int], int] = {}
+        accept = [-1]
+        for word, t in self.guess.items():
+            node = 0
+            for b in word:
+                if (step := nodes.get((node, b))) is None:
+                    step = nodes[node, b] = len(accept)
+                    accept.append(-1)
+                node = step
+            accept[node] = t
+        self.steps = Probe(np.array([n * 256 + b for n, b in nodes], dtype=np.int64), np.array(list(nodes.values()), dtype=np.int32))
+        self.accept = np.array(accept, dtype=np.int32)
 
     def _spines(self, halves: dict[int, tuple[int, int]], rank: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
         """For each token the pieces at one end while it is built, and the rank of the merge that uses each up."""
@@ -109,10 +159,8 @@ class Merger:
                 at = np.flatnonzero(live & (y >= 0) & ok)
                 if not len(at):
                     break
-                key = x[at] * self.size + y[at]
-                k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                r = np.where(self.keys[k] == key, self.key_rank[k], NEVER)
-                ok[at[(r < x_until[at]) & (r <= y_until[at]) & (r < NEVER)]] = False
+                r = self.ranks.get(x[at] * self.size + y[at])
+                ok[at[(r < x_until[at]) & (r <= y_until[at]) & (r >= 0)]] = False
         return ok
 
     def exact(self, word: bytes) -> list[int]:
@@ -158,63 +206,163 @@ class Merger:
             at = end
         return out
 
+    def guesses(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, the word each is of) of greedy longest match: all words walk the tree of tokens side by side."""
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        held = np.frombuffer(b"".join(words) + b"\0", dtype=np.uint8)
+        end = np.cumsum(sizes)
+        word = np.flatnonzero(sizes)
+        end, at = end[word], (end - sizes)[word]
+        node, token, after = np.zeros(len(word), dtype=np.int64), np.full(len(word), -1, dtype=np.int32), at.copy()
+        tokens, of = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)]
+        while len(word):
+            step = self.steps.get(node * 256 + held[at])
+            step[at >= end] = -1
+            go = step >= 0
+            taken = np.where(go, self.accept[step], -1)
+            token, after = np.where(taken >= 0, taken, token), np.where(taken >= 0, at + 1, after)
+            stop = ~go
+            tokens.append(token[stop])
+            of.append(word[stop])
+            node, at = np.where(go, step, 0), np.where(go, at + 1, after)
+            keep = go | (after < end)
+            word, end, node, token, after, at = word[keep], end[keep], node[keep], token[keep], after[keep], at[keep]
+        flat, owner = np.concatenate(tokens), np.concatenate(of)
+        order = np.argsort(owner, kind="stable")
+        return flat[order].astype(np.int64), owner[order]
+
+    def exact_many(self, words: list[bytes]) -> list[list[int]]:
+        """exact() of words of SHORT bytes at most: each round merges the best pair of every word that has one."""
+        out: list[list[int]] = [[]] * len(words)
+        order = sorted(range(len(words)), key=lambda k: len(words[k]))
+        for k in range(0, len(order), 4096):
+            part = [j for j in order[k : k + 4096] if words[j]]
+            if not part:
+                continue
+            sizes = np.array([len(words[j]) for j in part])
+            ids = np.full((len(part), sizes.max() + 1), -1, dtype=np.int32)
+            ids[np.arange(ids.shape[1]) < sizes[:, None]] = self.byte_id[np.frombuffer(b"".join(words[j] for j in part), dtype=np.uint8)]
+            row, none, wide = np.array(part), np.iinfo(np.int32).max, np.arange(ids.shape[1] - 1)
+
+            def rank(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+                r = self.ranks.get(np.maximum(x, 0).astype(np.int64) * self.size + np.maximum(y, 0))
+                return np.where((x < 0) | (y < 0) | (r < 0), np.iinfo(np.int32).max, r).astype(np.int32)
+
+            ranks = rank(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(part), -1)
+            while len(row):
+                best = ranks.argmin(axis=1)
+                r = ranks[np.arange(len(row)), best]
+                done = r == none
+                if done.any():
+                    for j, x in zip(row[done].tolist(), ids[done], strict=True):
+                        out[j] = x[x >= 0].tolist()
+                    row, ids, ranks, best, r = row[~done], ids[~done], ranks[~done], best[~done], r[~done]
+                    if not len(row):
+                        break
+                n = np.arange(len(row))
+                ids[:, 1:-1] = np.where(wide[1:] > best[:, None], ids[:, 2:], ids[:, 1:-1])
+                ids[n, best] = self.made[r]
+                ranks[:, :-1] = np.where(wide[:-1] > best[:, None], ranks[:, 1:], ranks[:, :-1])
+                ranks[n, best] = rank(ids[n, best], ids[n, best + 1])
+                left = np.flatnonzero(best)
+                ranks[left, best[left] - 1] = rank(ids[left, best[left] - 1], ids[left, best[left]])
+        return out
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Guesses all words, tests all seams at once, merges exactly the words with a failing seam."""
         raw = [w.encode() for w in words]
         if not self.testable:
             return [self.exact(w) for w in raw]
-        guesses = [self.greedy(w) for w in raw]
-        flat = np.fromiter(chain.from_iterable(guesses), dtype=np.int64)
-        of = np.repeat(np.arange(len(guesses)), [len(g) for g in guesses])
+        short = [k for k, w in enumerate(raw) if len(w) <= SHORT]
+        flat, of = self.guesses([raw[k] for k in short])
+        if len(short) < len(raw):
+            long = [k for k in range(len(raw)) if len(raw[k]) > SHORT]
+            more = [self.greedy(raw[k]) for k in long]
+            flat = np.concatenate([flat, np.fromiter(chain.from_iterable(more), dtype=np.int64)])
+            of = np.concatenate([of, np.repeat(np.arange(len(long)) + len(short), [len(g) for g in more])])
+            short += long
         seam = np.flatnonzero(of[1:] == of[:-1])
         pairs, back = np.unique(flat[seam] * self.size + flat[seam + 1], return_inverse=True)
-        failed = ~self.compatible(pairs // self.size, pairs % self.size)[back]
-        for k in np.unique(of[seam[failed]]):
-            guesses[k] = self.exact(raw[k])
-        return guesses
+        failed = np.unique(of[seam[~self.compatible(pairs // self.size, pairs % self.size)[back]]]).tolist()
+        starts, flat_ids = np.searchsorted(of, np.arange(len(raw) + 1)).tolist(), flat.tolist()
+        out: list[list[int]] = [[]] * len(raw)
+        for k, j in enumerate(short):
+            out[j] = flat_ids[starts[k] : starts[k + 1]]
+        redo = [short[k] for k in failed]
+        few = [j for j in redo if len(raw[j]) <= SHORT]
+        for j, ids in zip(few, self.exact_many([raw[j] for j in few]), strict=True):
+            out[j] = ids
+        for j in redo:
+            if len(raw[j]) > SHORT:
+                out[j] = self.exact(raw[j])
+        return out
+
+
+def decimal(ids: list[int]) -> bytes:
+    return ",".join(map(str, ids)).encode()
+
+
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, dtype=np.int32).tobytes()
 
 
 class Encoder:
-    """Encodes and decodes texts with a Merger, keeping the tokens of the words seen last."""
+    """Encodes and decodes texts with a Merger, keeping the tokens of the words seen last, as bytes in the form of `show`."""
 
-    def __init__(self, merger: Merger) -> None:
-        self.merger, self.words = merger, regex.compile(PATTERN)
-        self.ids: dict[str, tuple[int, ...]] = {}
+    def __init__(self, merger: Merger, show: Callable[[list[int]], bytes] = packed) -> None:
+        self.merger, self.show, self.words = merger, show, regex.compile(PATTERN).findall
+        self.shown: dict[object, bytes] = {}
+        self.raw: dict[object, bytes] = {}
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(merger.specials, key=len, reverse=True))) + ")") if merger.specials else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.shown.clear()
+        self.raw.clear()
+        for text, t in self.merger.specials.items():  # keys that no word equals
+            self.shown[(text,)], self.raw[(text,)] = self.show([t]), text.encode()
+
+    def split(self, text: str) -> list:
+        """The words of a text and, as tuples, its control strings."""
+        if self.special is None or not self.special.search(text):
+            return self.words(text)
+        parts = self.special.split(text)
+        return list(chain.from_iterable([(p,)] if k % 2 else self.words(p) for k, p in enumerate(parts)))
+
+    def learn(self, split: list[list]) -> None:
+        """Tokens for the words of these texts that are not known yet, in one call of encode_words: its tests are vectorised."""
+        seen = set(chain.from_iterable(split))
+        new = [w for w in seen if w not in self.shown]
+        if len(self.shown) + len(new) > KEPT_WORDS:
+            known = [(w, self.shown[w], self.raw[w]) for w in seen if w in self.shown]
+            self._forget()
+            for w, a, b in known:
+                self.shown[w], self.raw[w] = a, b
+        if new:
+            bytes_of = self.merger.bytes_of
+            for w, ids in zip(new, self.merger.encode_words(new), strict=True):
+                self.shown[w], self.raw[w] = self.show(ids), b"".join(map(bytes_of.__getitem__, ids))
+
+    def groups(self, texts: Iterator[str]) -> Iterator[tuple[list[bytes], list[bytes]]]:
+        """(shown tokens, decoded bytes) of the texts, about GROUP_CHARS characters at a time."""
+        glue = b"," if self.show is decimal else b""
+        split: list[list] = []
+        chars = 0
+        for text in chain(texts, [None]):
+            if split and (text is None or chars + len(text) > GROUP_CHARS):
+                self.learn(split)
+                shown, raw = self.shown.__getitem__, self.raw.__getitem__
+                yield [glue.join(map(shown, w)) for w in split], [b"".join(map(raw, w)) for w in split]
+                split, chars = [], 0
+            if text is not None:
+                split.append(self.split(text))
+                chars += len(text)
 
     def encode(self, text: str) -> list[int]:
-        return next(self.encode_all([text]))
-
-    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
-        """The tokens of each text. Groups of texts share one call of encode_words, as its tests are vectorised."""
-        at = 0
-        while at < len(texts):
-            split, chars = [], 0
-            while at < len(texts) and chars < GROUP_CHARS:
-                parts = self.special.split(texts[at]) if self.special else [texts[at]]
-                split.append([p if k % 2 else self.words.findall(p) for k, p in enumerate(parts)])
-                chars += len(texts[at])
-                at += 1
-            seen = set(chain.from_iterable(p for parts in split for p in parts[::2]))
-            if len(self.ids) + len(new := [w for w in seen if w not in self.ids]) > KEPT_WORDS:
-                self.ids.clear()
-                new = list(seen)
-            if new:
-                self.ids.update(zip(new, map(tuple, self.merger.encode_words(new)), strict=True))
-            for parts in split:
-                out: list[int] = []
-                for k, p in enumerate(parts):
-                    if k % 2:
-                        out.append(self.merger.specials[p])
-                    else:
-                        out.extend(chain.from_iterable(map(self.ids.__getitem__, p)))
-                yield out
-
-    def decode(self, ids: Iterable[int]) -> str:
-        return b"".join(map(self.merger.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
-
-
-_held: dict[str, Encoder] = {}
+        return np.frombuffer(next(self.groups(iter([text])))[0][0], dtype=np.int32).tolist()
+
+
+_held: dict[tuple[str, bool], Encoder] = {}
 
 
 def load(path: str) -> Merger:
@@ -222,6 +370,16 @@ def load(path: str) -> Merger:
         return Merger(f.read())
 
 
+def list_array(rows: list[bytes], kind: pa.DataType, value: pa.DataType | None = None, width: int = 1) -> pa.Array:
+    """Rows of bytes as an Arrow array of strings or of lists."""
+    ends = np.zeros(len(rows) + 1, dtype=np.int32)
+    np.cumsum([len(r) // width for r in rows], out=ends[1:])
+    held = pa.py_buffer(b"".join(rows))
+    if value is None:
+        return pa.Array.from_buffers(kind, len(rows), [None, pa.py_buffer(ends), held])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.Array.from_buffers(value, int(ends[-1]), [None, held]))
+
+
 def encode_table(documents: DataFrame, vocabulary: str, digests: bool = False) -> DataFrame:
     """doc_id with tokens (array<int>) and decoded text of every row, or with their count and digests.
 
@@ -233,23 +391,28 @@ def encode_table(documents: DataFrame, vocabulary: str, digests: bool = False) -
     kind = documents.schema["doc_id"].dataType.simpleString()
     made = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "tokens array<int>, decoded string"
 
+    def utf8(raw: bytes) -> bytes:
+        return raw if raw.isascii() else raw.decode("utf-8", "replace").encode()
+
+    def digest(x: bytes) -> str:
+        return hashlib.sha256(x).hexdigest()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if mark not in _held:
+        if (mark, digests) not in _held:
             _held.clear()
-            _held[mark] = Encoder(pickle.loads(shipped.value))
-        coder = _held[mark]
-        names = [str(t) for t in range(coder.merger.size)]
+            _held[mark, digests] = Encoder(pickle.loads(shipped.value), decimal if digests else packed)
+        coder = _held[mark, digests]
         for batch in batches:
-            rows: list[tuple] = []
-            for ids in coder.encode_all([t.as_py() or "" for t in batch.column(1)]):
-                back = coder.decode(ids)
+            at = 0
+            for shown, raw in coder.groups(x.as_py() or "" for x in batch.column(1)):
+                ids = batch.column(0).slice(at, len(shown))
+                at += len(shown)
                 if digests:
-                    rows.append((len(ids), hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
+                    counts = pa.array([x.count(b",") + 1 if x else 0 for x in shown], pa.int64())
+                    columns = [ids, counts, pa.array(map(digest, shown), pa.string()), pa.array((digest(utf8(x)) for x in raw), pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
                 else:
-                    rows.append((ids, back))
-            cols = list(zip(*rows, strict=True)) or [[]] * (3 if digests else 2)
-            types = [pa.int64(), pa.string(), pa.string()] if digests else [pa.list_(pa.int32()), pa.string()]
-            names_out = ["doc_id", *(x.split()[0] for x in made.split(", "))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(list(c), t) for c, t in zip(cols, types, strict=True))], names=names_out)
+                    columns = [ids, list_array(shown, pa.list_(pa.int32()), pa.int32(), 4), list_array([utf8(x) for x in raw], pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tokens", "decoded"])
 
     return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, {made}")

@@ -150,13 +150,28 @@ def test_bpe_equals_the_library(docs, none):
     texts = [r.text or "" for r in docs.collect()]
     assert [(list(r.tokens), r.decoded) for r in got.collect()] == [(e.ids, ref.decode(e.ids, skip_special_tokens=False)) for e in ref.encode_batch(texts, add_special_tokens=False)]
     assert bpe.encode_table(none, path, digests=True).count() == 0
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    want = [(len(e.ids), sha(",".join(map(str, e.ids))), sha(ref.decode(e.ids, skip_special_tokens=False))) for e in ref.encode_batch(texts, add_special_tokens=False)]
+    assert [tuple(r)[1:] for r in bpe.encode_table(docs, path, digests=True).collect()] == want
+
+
+def test_bpe_groups_and_forgotten_words_change_nothing(docs, monkeypatch):
+    P = pytest.importorskip("public_tokenizers")
+    m = bpe.load(P.path("byte_bpe_50k.json"))
+    texts = [r.text or "" for r in docs.collect()] + ["naïve café ﬁn 你好 \xa0\u2003x"]
+    whole = [x for shown, _ in bpe.Encoder(m, bpe.decimal).groups(iter(texts)) for x in shown]
+    monkeypatch.setattr(bpe, "GROUP_CHARS", 40)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 10)
+    small = [(x, y) for shown, raw in bpe.Encoder(m, bpe.decimal).groups(iter(texts)) for x, y in zip(shown, raw, strict=True)]
+    assert [x for x, _ in small] == whole and [y.decode() for _, y in small] == texts
+    assert bpe.Encoder(m).encode(texts[0]) == [int(x) for x in whole[0].split(b",")]
 
 
 def test_bpe_exact_merging_and_speculation_agree():
     P = pytest.importorskip("public_tokenizers")
     m = bpe.load(P.path("byte_bpe_50k.json"))
     rng = np.random.default_rng(0)
-    words = ["".join(map(chr, rng.integers(97, 97 + rng.integers(2, 26), rng.integers(1, 40)))) for _ in range(3000)]
+    words = ["".join(map(chr, rng.integers(97, 97 + rng.integers(2, 26), rng.integers(1, 90)))) for _ in range(3000)] + ["", "é" * 50, "aaaaaaaa", "日本"]
     assert m.encode_words(words) == [m.exact(w.encode()) for w in words]
 
 
