@@ -2,9 +2,10 @@
 
 Equal sets are one node. All sets are sorted by one order of the shingles, frequent ones last; two similar sets then share
 a shingle among the first n - ceil(0.8 n) + 1 of each, so nodes meet on an equal key and no pair is lost. The order's
-frequencies come from a sample of texts: they change what is compared, never what is found. Keys that many near copies
-share are first linked to a few drawn nodes of the key; then only nodes that are still apart are compared. Every link is
-tested on the whole sets.
+frequencies come from a sample of texts: they change what is compared, never what is found. In a few rounds the
+nodes of a key are compared with one of them only, first with the one that shares most keys (the text that others were
+copied from), then with drawn ones; after that only nodes of a key that are still in different components are compared,
+in blocks where a key has many. Every link is tested on the whole sets.
 
 A text of five words or fewer is one shingle; texts without words are one node; words are those of the fingerprint.
 """
@@ -26,8 +27,10 @@ from disclosa.llm.components import components
 SHINGLE, SEED = 5, 42
 #: Texts whose shingles are counted for the order, about, and counted shingles held at most.
 SAMPLE, HELD = 20_000, 500_000
-#: Drawn nodes that a node is compared with first.
-STARS = 4
+#: Rounds of stars, and the centres that a node is compared with in a round.
+ROUNDS, STARS = 1, 4
+#: Nodes of a key that are compared in one task's block, about.
+BLOCK = 1024
 
 
 def shingle_set(text: str) -> np.ndarray:
@@ -121,7 +124,13 @@ def apart(held: DataFrame) -> DataFrame:
                         ends = np.full(int(y.sum()), node[x]), node[y]
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*ends)), pa.array(np.maximum(*ends))], names=["a", "b"])
 
-    lists = held.groupBy("key").agg(F.collect_list(F.struct("node", "size", "pos", "component")).alias("rows")).where(F.size("rows") > 1)
+    sums = held.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    open_ = sums.where("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rows = held.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # Block i meets every block j: a row goes to the pairs (i, j) with its own block as either.
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.struct("node", "size", "pos", "component").alias("row"))
+    lists = rows.groupBy("key", "i", "j").agg(F.collect_list("row").alias("rows")).where(F.size("rows") > 1)
     return lists.select("rows").mapInArrow(run, "a long, b long").distinct()
 
 
@@ -141,8 +150,10 @@ def links(documents: DataFrame, held_prints: DataFrame) -> DataFrame:
     nodes = held_prints.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("keys").alias("keys"))
     nodes = materialise(nodes, "nodes")
     rows = nodes.select("node", "size", F.posexplode("keys").alias("pos", "key"))
-    shared = materialise(rows.groupBy("key").count().where("count > 1").select("key"), "shared")
+    shared = materialise(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     held = materialise(rows.join(shared, "key"), "held")
+    degrees = held.groupBy("node").agg(F.sum("n").alias("degree"))
+    held = materialise(held.drop("n").join(degrees, "node"), "graded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,12 +166,19 @@ def links(documents: DataFrame, held_prints: DataFrame) -> DataFrame:
     texts = texts.join(wanted, texts.doc_id.eqNullSafe(wanted["_least"]), "left_semi").select("text")
     sets = materialise(texts.mapInArrow(run, "node long, hashes array<long>").dropDuplicates(["node"]), "sets")
 
-    centre = F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node", "size", "pos")).alias("c")
-    stars = held.join(held.groupBy("key").agg(centre), "key").where((F.col("node") != F.col("c.node")) & may_reach(F.col("size"), F.col("c.size"), F.col("pos"), F.col("c.pos")))
-    stars = stars.select("node", F.col("c.node").alias("other")).distinct()
-    stars = stars.withColumn("_n", F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("node", "other")))).where(F.col("_n") <= STARS)
-    first = materialise(similar(materialise(stars.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "stars"), sets), "first")
-
-    labels = components(first)
+    found, labels = None, None
+    for k in range(ROUNDS):
+        graded = held.withColumn("component", F.col("node")) if labels is None else held.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        order = F.xxhash64("node", "key", F.lit(k))
+        centre = F.max(F.struct(*([] if k else ["degree"]), order.alias("h"), "node", "size", "pos", "component")).alias("c")
+        met = graded.join(graded.groupBy("key").agg(centre), "key").where(
+            (F.col("component") != F.col("c.component")) & may_reach(F.col("size"), F.col("c.size"), F.col("pos"), F.col("c.pos"))
+        )
+        met = met.select("node", F.col("c.node").alias("other")).distinct()
+        met = met.withColumn("_n", F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("node", "other")))).where(F.col("_n") <= STARS)
+        stars = materialise(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "stars")
+        near = materialise(similar(stars, sets), "near")
+        found = near if found is None else found.unionByName(near)
+        labels = components(found)
     left = held.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return first.unionByName(materialise(similar(materialise(apart(left), "apart"), sets), "second"))
+    return found.unionByName(materialise(similar(materialise(apart(left), "apart"), sets), "second"))
