@@ -5,9 +5,10 @@ the r-th slot of a source takes the r-th block of equal word count from the sour
 read twice over where the target asks for it. Ranks and places are prefix sums in levels (small buckets, chunks of
 buckets, chunks of a source), so no source is ever sorted or summed in one task.
 
-A null text has size 0 and is never taken; the null source is a source of its own and comes last; rows are placed one by
-one, so repeated rows and ids are separate documents; an empty table gives an empty result; further columns of the input
-are carried by mixed_rows() and ignored otherwise.
+A null text has size 0 and is never taken; the null source is a source of its own and comes last; repeated rows and ids
+are separate documents (rows with the same id and text are placed as one run and told apart by their number in it); an
+empty table gives an empty result; further columns of the input, whatever their names, are carried by mixed_rows() and
+ignored otherwise.
 """
 
 from __future__ import annotations
@@ -56,10 +57,10 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def order_hash(doc_id: Column) -> Column:
-    """60 bits of a keyed digest as a long."""
-    text = F.concat(F.lit(KEY + ":"), F.coalesce(doc_id.cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+def order_hash(doc_id: Column, text: Column) -> Column:
+    """60 bits of a keyed digest of a document as a long."""
+    named = F.concat(F.lit(KEY + ":"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce(text, F.lit(""))))
+    return F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("long")
 
 
 def two_level(rows: DataFrame, bucket: str, amount: Column, order: list[Column]) -> DataFrame:
@@ -104,55 +105,71 @@ def slots(quotas: DataFrame, block: int, n: int) -> DataFrame:
     given = ranked.groupBy("key").agg(F.count("*").alias("given"))
     need = F.ceil(F.col("quota") / block)
     short = quotas.join(given, "key", "left").select("key", F.coalesce("given", F.lit(0)).alias("given"), need.alias("need")).where("given < need")
-    late = short.select("key", F.explode(F.expr("sequence(given, need - 1)")).alias("rank")).withColumn("slot", F.lit(n) + F.col("rank"))
-    return ranked.unionByName(late)
+    earlier = F.sum(F.col("need") - F.col("given")).over(Window.orderBy("key").rowsBetween(Window.unboundedPreceding, -1))
+    late = short.withColumn("start", F.lit(n) + F.coalesce(earlier, F.lit(0)) - F.col("given"))
+    late = late.select("key", F.col("start"), F.explode(F.expr("sequence(given, need - 1)")).alias("rank"))
+    return ranked.unionByName(late.select("key", "rank", (F.col("start") + F.col("rank")).alias("slot")))
+
+
+def one_by_one(runs: DataFrame) -> DataFrame:
+    """A row for each of the `copies` documents of a run, with `copy` and its own `before`; long runs are dealt out first."""
+    many = runs.where("copies > 1").withColumn("part", F.explode(F.expr("sequence(0, (copies - 1) div 1024)")))
+    many = many.repartition("key", "bucket", "row", "part").withColumn("copy", F.explode(F.expr("sequence(part * 1024, least(copies, part * 1024 + 1024) - 1)"))).drop("part")
+    return runs.where("copies = 1").withColumn("copy", F.lit(0).cast("long")).unionByName(many).withColumn("before", F.expr("before + copy * size"))
+
+
+def keyed(documents: DataFrame) -> DataFrame:
+    return documents.select("doc_id", source_key(F.col("source")).alias("key"), F.size(words(F.col("text"))).cast("long").alias("size"), order_hash(F.col("doc_id"), F.col("text")).alias("h"))
 
 
 def mix(documents: DataFrame) -> Mix:
     """Schedules documents(doc_id, text, source)."""
-    rows = documents.select("doc_id", source_key(F.col("source")).alias("key"), F.size(words(F.col("text"))).cast("long").alias("size"))
-    rows = materialise(rows.withColumn("h", order_hash(F.col("doc_id"))), "sizes")
+    rows = materialise(keyed(documents), "sizes")
     sizes = rows.groupBy("key").agg(F.sum("size").alias("source_size"))
     quotas = materialise(targets(sizes).withColumn("quota", F.round("target").cast("long")), "quotas")
     n, total = rows.count(), quotas.agg(F.sum("quota")).first()[0] or 0
     block = max(1, min(BLOCK_WORDS, total // SLOTS))
     buckets = max(1, -(-n // BUCKET_ROWS))
-    bucketed = rows.withColumn("bucket", F.expr(f"(shiftright(h, 28) * {buckets}) div {UNIT}"))
-    placed = two_level(bucketed, "bucket", F.col("size"), [F.col("h"), F.col("doc_id"), F.col("size")])
-    placed = materialise(placed.join(quotas, "key"), "placed")
+    runs = rows.groupBy("key", "h", "doc_id", "size").agg(F.count("*").alias("copies"))
+    bucketed = runs.withColumn("bucket", F.expr(f"(shiftright(h, 28) * {buckets}) div {UNIT}"))
+    placed = two_level(bucketed, "bucket", F.col("size") * F.col("copies"), [F.col("h"), F.col("doc_id"), F.col("size")])
+    placed = materialise(one_by_one(placed).join(quotas, "key"), "placed")
     passes = placed.withColumn("pass", F.explode(F.expr(f"sequence(0, {MOST - 1})")))
     start = F.col("before") + F.col("pass") * F.col("source_size")
     taken = passes.withColumns({"lo": start, "hi": F.least(start + F.col("size"), F.col("quota"))}).where("hi > lo")
     cut = taken.withColumn("rank", F.explode(F.expr(f"sequence(lo div {block}, (hi - 1) div {block})")))
     first, last = F.greatest(F.col("lo"), F.col("rank") * block), F.least(F.col("hi"), (F.col("rank") + 1) * block)
-    parts = cut.select("key", "rank", "bucket", "row", "doc_id", (first - F.col("lo")).alias("from_word"), (last - first).alias("n_words"))
+    named = ["key", "bucket", "row", "copy", "copies", "doc_id", "h", "size"]
+    parts = cut.select("rank", *named, (first - F.col("lo")).alias("from_word"), (last - first).alias("n_words"))
     pieces = parts.join(slots(quotas, block, -(-total // block)), ["key", "rank"])
-    return Mix(placed, pieces.select("slot", "key", "bucket", "row", "doc_id", "from_word", "n_words"))
+    return Mix(placed, pieces.select("slot", *named, "from_word", "n_words"))
 
 
 def taken_words(m: Mix) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every document of a mix."""
-    sums = m.pieces.groupBy("key", "bucket", "row").agg(F.sum("n_words").alias("taken"))
-    return m.placed.join(sums, ["key", "bucket", "row"], "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
+    """doc_id, size, source_size, target, taken, first_slot (null: not taken) for every document of a mix."""
+    at = ["key", "bucket", "row", "copy"]
+    sums = m.pieces.groupBy(*at).agg(F.sum("n_words").alias("taken"), F.min("slot").alias("first_slot"))
+    return m.placed.join(sums, at, "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.col("first_slot").cast("long").alias("first_slot")
     )
 
 
 def mixed_rows(documents: DataFrame) -> DataFrame:
-    """Whole documents in the proportions of the mix: a row as often as a pass through its source starts with it.
+    """Whole documents in the order of the schedule: one row for each slot in which a pass through a source begins a document.
 
-    Rows keep their columns. Rows with the same doc_id, source and size are told apart by nothing, so each is repeated
-    by the mean of theirs, the first ones getting the remainder.
+    Rows keep their columns. Rows with the same id and text are numbered in one task, by all their columns.
     """
-    m = mix(documents)
-    row_id = lambda c: F.when(c.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), c.cast("string")))
-    same = ["_id", "_key", "_size"]
-    copies = sum(((F.col("before") + k * F.col("source_size")) < F.col("quota")).cast("long") for k in range(MOST))
-    starts = m.placed.where("size > 0").select(row_id(F.col("doc_id")).alias("_id"), F.col("key").alias("_key"), F.col("size").alias("_size"), copies.alias("copies"))
-    starts = materialise(starts.groupBy(*same).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")), "copies")
-    tagged = documents.withColumns({"_id": row_id(F.col("doc_id")), "_key": source_key(F.col("source")), "_size": F.size(words(F.col("text"))).cast("long")})
-    kept = tagged.join(starts.where("_copies > 0"), same)
-    turn = F.row_number().over(Window.partitionBy(*same).orderBy("text"))
-    times = F.expr("_copies div _rows") + (F.col("_turn") <= F.col("_copies") % F.col("_rows")).cast("long")
-    again = kept.withColumn("_turn", turn).withColumn("_times", times).where("_times > 0")
-    return again.withColumn("_time", F.explode(F.expr("sequence(1, _times)"))).select(*documents.columns)
+    pieces = mix(documents).pieces
+    starts = materialise(pieces.where("from_word = 0").select("slot", "key", "h", "doc_id", "size", "copy", "copies"), "starts")
+    same = ["_key", "_h", "_id", "_size"]
+    names = [F.col("key").alias("_key"), F.col("h").alias("_h"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_id"), F.col("size").alias("_size")]
+    held = documents.select(F.struct("*").alias("_row")).select("_row", *(F.col(f"_row.{c}").alias(c) for c in ("doc_id", "text", "source")))
+    held = held.select("_row", source_key(F.col("source")).alias("key"), order_hash(F.col("doc_id"), F.col("text")).alias("h"), "doc_id", F.size(words(F.col("text"))).cast("long").alias("size"))
+    held = held.select("_row", *names)
+    once = starts.where("copies = 1").select(*names, "slot").groupBy(*same).agg(F.collect_list("slot").alias("_slots"))  # a slot for each pass
+    single = held.join(once, same).select("_row", F.explode("_slots").alias("_slot"))
+    often = starts.where("copies > 1").select(*names, F.col("copy").alias("_copy"), F.col("slot").alias("_slot"))
+    text = F.to_json("_row")
+    again = held.join(often.select(*same).distinct(), same, "left_semi").withColumn("_copy", F.row_number().over(Window.partitionBy(*same).orderBy(text)).cast("long") - 1)
+    again = again.join(often, [*same, "_copy"]).select("_row", "_slot")
+    return single.unionByName(again).orderBy("_slot").select("_row.*")

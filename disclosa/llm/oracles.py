@@ -31,13 +31,23 @@ def _secrets() -> str:
 
 def _mixing() -> str:
     w = mixing.WEIGHTS
-    return f"""WITH d AS (SELECT doc_id, source, len({WORDS}) AS size, substr(md5('{mixing.KEY}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15) AS h FROM documents),
+    return f"""WITH d AS (SELECT doc_id, source, len({WORDS}) AS size, substr(md5('{mixing.KEY}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 15) AS h FROM documents),
  s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY 1),
  c AS (SELECT *, [{', '.join(map(str, w))}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(w)} + 1] AS w, {mixing.MOST} * source_size AS cap FROM s),
  l AS (SELECT *, ({mixing.SHARE}::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY cap::DOUBLE / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM c),
  t AS (SELECT source, source_size, CASE WHEN cap < w * lev THEN cap::DOUBLE ELSE w * max(CASE WHEN cap >= w * lev THEN lev END) OVER () END AS target FROM l),
- p AS (SELECT d.doc_id, d.size, t.source_size, t.target, round(t.target)::BIGINT AS quota, coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY h, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source)
- SELECT doc_id, size, source_size, round(target, 6) AS target, (greatest(0, least(before + size, quota) - before) + greatest(0, least(before + source_size + size, quota) - before - source_size))::BIGINT AS taken FROM p"""
+ q AS (SELECT *, round(target)::BIGINT AS quota FROM t), z AS (SELECT sum(quota)::BIGINT AS total, greatest(1, least({mixing.BLOCK_WORDS}, sum(quota)::BIGINT // {mixing.SLOTS})) AS block FROM q),
+ p AS (SELECT d.doc_id, d.size, d.source, q.source_size, q.target, q.quota, coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY h, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d JOIN q ON q.source IS NOT DISTINCT FROM d.source),
+ e AS (SELECT source, quota, floor((sum(target) OVER upto - target) / sum(target) OVER () * {mixing.UNIT})::BIGINT AS a, floor(sum(target) OVER upto / sum(target) OVER () * {mixing.UNIT})::BIGINT AS b FROM q WHERE target > 0 WINDOW upto AS (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+ f AS (SELECT source, quota, coalesce(lag(b) OVER (ORDER BY source NULLS LAST), 0) AS a, b FROM e),
+ g AS (SELECT i AS slot, ((i % {1 << 31}) * {mixing.GOLDEN}) % {mixing.UNIT} AS u FROM z, range((total + block - 1) // block) AS r(i)),
+ k AS (SELECT f.source, slot, row_number() OVER (PARTITION BY f.source ORDER BY slot) - 1 AS rank FROM g JOIN f ON u >= a AND u < b),
+ n AS (SELECT q.source, coalesce(max(rank) + 1, 0) AS given, (max(quota) + max(block) - 1) // max(block) AS need FROM q CROSS JOIN z LEFT JOIN k ON k.source IS NOT DISTINCT FROM q.source GROUP BY 1),
+ m AS (SELECT *, coalesce(sum(need - given) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier FROM n WHERE given < need),
+ o AS (SELECT source, rank, slot FROM k UNION ALL SELECT source, r, (total + block - 1) // block + earlier - given + r FROM (SELECT m.*, unnest(range(given, need)) AS r FROM m), z),
+ x AS (SELECT p.*, before // block AS rank FROM p, z)
+ SELECT doc_id, size, source_size, round(target, 6) AS target, (greatest(0, least(before + size, quota) - before) + greatest(0, least(before + source_size + size, quota) - before - source_size))::BIGINT AS taken,
+ CASE WHEN size > 0 AND before < quota THEN o.slot END::BIGINT AS first_slot FROM x LEFT JOIN o ON o.source IS NOT DISTINCT FROM x.source AND o.rank = x.rank"""
 
 
 def _chat() -> str:

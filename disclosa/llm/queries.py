@@ -22,7 +22,7 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents")))
-    return found.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+    return found.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "first_slot")
 
 
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

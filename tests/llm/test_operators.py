@@ -352,11 +352,39 @@ def test_mix_slots_hold_equal_blocks(docs):
     assert {r.k for r in pieces} == {1} and max(r.n for r in pieces) <= mixing.BLOCK_WORDS
 
 
-def test_mixed_rows_keep_columns_and_whole_texts(docs):
+def test_every_prefix_of_the_schedule_holds_the_sources_shares(spark):
+    rows = [(k, "w " * (1 + k * 7 % 90), "abc"[(k % 7) % 3]) for k in range(900)]
+    m = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    got = m.pieces.groupBy("slot", "key").agg(F.sum("n_words").alias("n")).orderBy("slot").collect()
+    target = {r.key: r.target for r in m.placed.select("key", "target").distinct().collect()}
+    assert len({r.slot for r in got}) == len(got) 
+    assert [r.slot for r in got][:20000] == list(range(20000))  # at the end a source may have a slot and no block left
+    share, seen, worst = {k: t / sum(target.values()) for k, t in target.items()}, dict.fromkeys(target, 0), 0
+    for k, r in enumerate(got[: 20000], 1):
+        seen[r.key] += 1
+        worst = max(worst, *(abs(seen[x] - k * share[x]) for x in seen))
+    assert worst < 6  # slots; drawing at random strays by tens
+
+
+def test_repeated_and_null_ids_are_placed_as_separate_documents(spark):
+    rows = [(None, "a b c", "s"), (None, "a b c", "s"), (None, "d e", "s"), (1, "f g h i", None), (1, "f g h i", None), (1, "j", None)] + [(9, "k l m", "t")] * 3000
+    m = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    got = mixing.taken_words(m).collect()
+    assert len(got) == len(rows) and abs(sum(r.taken for r in got) - 1.5 * sum(r["size"] for r in got)) <= 3 and all(r.taken <= 2 * r["size"] for r in got)
+
+
+def test_mixed_rows_keep_columns_and_whole_texts(spark, docs, none):
     got = mixing.mixed_rows(docs)
     assert got.columns == docs.columns
     texts = [r.text for r in docs.collect()]
     assert all(r.text in texts for r in got.collect()) and got.where("text is null or trim(text) = ''").count() == 0
+    assert mixing.mixed_rows(none).count() == 0
+    names = {n: k for k, n in enumerate(("_copies", "_rows", "_turn", "_time", "_times", "_id", "_key", "_size", "_row", "_slot", "_slots", "slot", "h", "copy", "copies", "row", "text2"))}
+    clash = docs.select("doc_id", "text", "source", *(F.lit(v).alias(n) for n, v in names.items()))
+    again = mixing.mixed_rows(clash)
+    assert again.columns == clash.columns and again.select(*names).distinct().collect() == [tuple(names.values())]
+    by_slot = mixing.mix(docs).pieces.where("from_word = 0").orderBy("slot").select("doc_id").collect()
+    assert [r.doc_id for r in got.collect()] == [r.doc_id for r in by_slot]
 
 
 def test_targets_fill_up(spark):
