@@ -14,12 +14,14 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one where the setting is unset (local tests)."""
+    """The folder of spark.checkpoint.dir; a temporary one where the setting is unset and executors share this machine."""
     held = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not held:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         held = held.get() if held.isDefined() else None
     if not held:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         held = tempfile.mkdtemp(prefix="disclosa-shared-")
         spark.sparkContext.setCheckpointDir(held)
     return held.rstrip("/")
@@ -33,6 +35,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder or file at path, in whatever file system it names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once, bound as a lambda variable."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from disclosa.llm import bpe, chat, covertree, mixing, pii, quality_model, quality_rules, secrets, simhash, toxicity
-from disclosa.llm.common import digest, table
+from disclosa.llm.common import digest, shared_folder, table
 from disclosa.llm.oracles import ORACLES as ORACLES
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secrets.scan(table(spark, sf_dir, "documents"))
+    # The ledger of these tables: a second run over them scans only texts and rule versions that are new.
+    store = f"{shared_folder(spark)}/disclosa/secrets-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+    found = secrets.scan_stored(table(spark, sf_dir, "documents"), store)
     base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE_RULES))
     count = lambda k: F.size(F.filter("spans", lambda s: s["rank"] == k)).cast("long")
     counts = [count(k).alias(f"n_{r.kind}") for k, r in enumerate(secrets.BASE_RULES)]
@@ -27,7 +30,7 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    extra = spark.sql("SELECT -7L AS conv_id, turn, role, :text AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(turn, role)", {"text": text})
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat.read_back(chat.format_chats(chat.events_of(rows)))
 
