@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words whose hashes a Python worker keeps.
@@ -39,25 +39,33 @@ def coder(pattern: str, lower: bool) -> Callable[[str | None], np.ndarray]:
     return run
 
 
-def training_rows(documents: DataFrame, labels: DataFrame, label: str, learn: tuple[int, int, bool], per_class: int) -> DataFrame:
-    """doc_id, y, text (and lang) of at most per_class labelled rows of either class, in a keyed random order.
+def training_rows(documents: DataFrame, labels: DataFrame, label: str, learn: tuple[int, int], per_class: int) -> DataFrame:
+    """doc_id, y, lang, text of at most per_class labelled documents of either class, in a keyed random order.
 
-    learn: (modulus, remainder, held): rows whose crc32(doc_id as text) mod modulus equals the remainder are held out
-    if held, the others then are those to learn from. The sample is at most 2 * per_class rows, so its ids may be
-    broadcast.
+    learn: (modulus, remainder): rows whose crc32(doc_id as text) mod modulus equals the remainder are held out. Ids
+    labelled both ways teach nothing and are left out; of rows with the same id the one with the smallest hash of its
+    text is taken, so the sample is at most 2 * per_class rows whatever repeats, and its ids may be broadcast.
     """
-    modulus, remainder, _ = learn
+    modulus, remainder = learn
     usable = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull())
-    usable = usable.where(fold(modulus) != remainder).dropDuplicates(["doc_id"]).withColumn("_order", F.xxhash64("doc_id", F.lit(label)))
+    usable = usable.where(fold(modulus) != remainder).groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("_y")).where("y = _y")
+    usable = usable.withColumn("_order", F.xxhash64("doc_id", F.lit(label)))
     chosen = None
     for y in (0, 1):
         part = usable.where(F.col("y") == y).orderBy("_order", "doc_id").limit(per_class).select("doc_id", "y")
         chosen = part if chosen is None else chosen.unionByName(part)
     named = documents if "lang" in documents.columns else documents.withColumn("lang", F.lit(None).cast("string"))
-    return named.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
+    held = named.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "lang")).alias("one")
+    return held.groupBy("doc_id", "y").agg(one).select("doc_id", "y", "one.lang", "one.text")
 
 
-def fold(modulus: int):  # noqa: ANN201
+def held_out(modulus: int, remainder: int) -> Column:
+    """Whether a row belongs to the held-out fold; one without an id does not."""
+    return F.coalesce(fold(modulus) == remainder, F.lit(False))
+
+
+def fold(modulus: int) -> Column:
     """crc32 of the doc_id as text, modulo."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 

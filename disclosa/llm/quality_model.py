@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from disclosa.llm.hashed import coded, coder, fold, scored, training_rows
+from disclosa.llm.hashed import coded, coder, held_out, scored, training_rows
 
 BITS = 18
 #: The bounded sample: rows of either class, and words of a row, at most.
@@ -80,7 +80,7 @@ def train(texts: list[np.ndarray], y: np.ndarray, epochs: int = 4, seed: int = 5
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> Model:
-    rows = training_rows(documents, labels, "quality", (MODULUS, HELD, True), PER_CLASS)
+    rows = training_rows(documents, labels, "quality", (MODULUS, HELD), PER_CLASS)
     texts, y, _ = coded(rows, words, LONGEST)
     return train(texts, y)
 
@@ -93,4 +93,4 @@ def score_table(documents: DataFrame, model: Model) -> DataFrame:
         return np.array([shipped.value.score(words(t)) for t in texts], dtype=np.float64)
 
     found = scored(documents, "score", score, [])
-    return found.withColumns({"predicted": (F.col("score") >= LEAST).cast("int"), "held_out": fold(MODULUS) == HELD})
+    return found.withColumns({"predicted": (F.col("score") >= LEAST).cast("int"), "held_out": held_out(MODULUS, HELD)})

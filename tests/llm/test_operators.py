@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from disclosa.llm import bpe, chat, components, covertree, mixing, pii, quality_model, quality_rules, secrets, simhash, toxicity
+from disclosa.llm import bpe, chat, components, covertree, hashed, mixing, pii, quality_model, quality_rules, secrets, simhash, toxicity
 from disclosa.llm.common import digest
 
 #: Names that operators use inside, with nulls, to clash with.
@@ -494,6 +494,58 @@ def test_toxicity_learns_and_ignores_labels_of_its_fold(spark, docs, none):
     assert toxicity.score_table(docs, toxicity.fit(docs, labels.limit(0))).where("predicted = 1").count() == 0
 
 
+def test_thresholds_follow_the_languages():
+    rng = np.random.default_rng(0)
+    y = np.tile([0, 0, 0, 1], 100)
+    low, high = np.where(y == 1, 0.3, 0.1) + 0.05 * rng.random(400), np.where(y == 1, 0.9, 0.6) + 0.05 * rng.random(400)
+    few = np.full(10, 0.5)
+    got = toxicity.calibrate(np.concatenate([low, high, few]), np.concatenate([y, y, np.zeros(10)]), ["xx"] * 400 + ["yy"] * 400 + ["zz"] * 10)
+    assert set(got) == {"", "xx", "yy"} and 0.15 < got["xx"] < 0.3 and 0.65 < got["yy"] < 0.9
+    noisy = np.where(rng.random(400) < 0.004, 0.95, high)
+    assert (noisy[y == 0] >= toxicity.threshold(noisy, y)).mean() <= toxicity.FALSE_RATE + 1 / 300
+
+
+def test_flagged_uses_the_threshold_of_the_language(spark):
+    d, labels = labelled(spark)
+    model = toxicity.fit(d, labels)
+    model.thresholds = {"": 0.0, "en": 1.1}
+    got = toxicity.score_table(d, model).collect()
+    assert all(r.flagged == (r.lang != "en") for r in got)
+
+
+def test_training_rows_are_bounded_and_do_not_depend_on_order(spark):
+    d = spark.createDataFrame([(k % 40, f"text {k}", "en") for k in range(400)] + [(None, "x", "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)] + [(2, 1), (3, 1), (None, 1)], "doc_id long, toxic int")
+    got = hashed.training_rows(d, labels, "toxic", (5, 0), 7).collect()
+    again = hashed.training_rows(d.orderBy(F.desc("text")).repartition(3), labels.orderBy(F.desc("toxic")), "toxic", (5, 0), 7).collect()
+    assert sorted(got) == sorted(again) and len(got) == 14 and {r.doc_id for r in got}.isdisjoint({2, None}) and len({r.doc_id for r in got}) == 14
+    assert toxicity.score_table(d, toxicity.fit(d, labels)).where("held_out is null").count() == 0
+
+
+def test_scores_equal_a_plain_computation(spark):
+    d, labels = labelled(spark, 120)
+    texts = [r.text for r in d.collect()] + ["", "one"]
+    model = toxicity.fit(d, labels)
+    for text in texts[:30] + texts[-2:]:
+        codes = [xxhash.xxh64_intdigest(w.encode()) >> 1 for w in re.findall(r"\w+", text.lower())]
+        emb = [model.table[c % 2**toxicity.BITS] + model.table[(c >> toxicity.BITS) % 2**toxicity.BITS] for c in codes]
+        z, f = model.out_bias, 0
+        for kernel in model.kernels:
+            for col in range(toxicity.FILTERS):
+                best = max([0.0] + [sum(float(emb[i + j] @ kernel[j][:, col]) for j in range(len(kernel))) + model.bias[f] for i in range(len(emb) - len(kernel) + 1)])
+                z, f = z + best * model.out[f], f + 1
+        assert model.score(toxicity.words(text), model.project()) == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-5)
+    model = quality_model.fit(d, labels)
+    mask = 2**quality_model.BITS - 1
+    for text in texts[:30] + texts[-2:]:
+        codes = [xxhash.xxh64_intdigest(w.encode()) >> 1 for w in re.findall(r"\w+|[^\w\s]+", text)]
+        h = [quality_model.REPEATED if c in codes[max(0, i - 2) : i] else c for i, c in enumerate(codes)]
+        pairs = [(((a * 0x9E3779B97F4A7C15 ^ b) & (2**64 - 1)) * 0xC2B2AE3D27D4EB4F & (2**64 - 1)) >> 40 for a, b in zip([x % 2**64 for x in h], h[1:])]
+        at = [x & mask for x in h] + [x & mask for x in pairs]
+        z = model.bias + (quality_model.SCALE * sum(float(model.weights[x]) for x in at) / len(at) if at else 0)
+        assert model.score(quality_model.words(text)) == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), abs=1e-5)
+
+
 def test_quality_model_learns(spark, docs, none):
     d, labels = labelled(spark)
     model = quality_model.fit(d, labels)
