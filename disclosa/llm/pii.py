@@ -1,12 +1,15 @@
 """Personal data replaced by surrogates.
 
-Entities found in the texts are brought to a canonical form (digits of a number, lower-case address, name with gender
-and script). Each distinct canonical form gets a keyed surrogate of its type; surrogates that equal a real entity or an
-earlier surrogate are drawn anew until all are distinct, so equal entities stay equal and different ones different
-throughout the corpus. An occurrence is filled in its own format. Main path: DataFrame functions only.
+Entities found in the texts are brought to a canonical form (digits of a number, lower-case address, given name with
+gender and script, family name with script). Each distinct canonical form gets a keyed surrogate of its type; surrogates
+that equal a real entity or an earlier surrogate are drawn anew, from a wider space each time (longer names and domains;
+after PLAIN attempts further digits), so the drawing ends however many entities there are. Equal entities stay equal and
+different ones different throughout the corpus; a family name gets the same surrogate with and without a given name. An
+occurrence is filled in its own format. Every text meets the patterns once, and once more where it is cut. Main path:
+DataFrame functions only.
 
 A null text stays null, an empty one empty; texts without entities stay as they are; repeated rows get the same text; an
-empty table gives an empty result; all columns of the input are kept (names that start with _pii_ are the operator's).
+empty table gives an empty result; all columns of the input are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -48,6 +51,8 @@ ENTITY = "|".join((EMAIL, CARD, SSN, PHONE, ADDRESS, IBAN, PERSON))
 #: A cheap condition that every text with an entity meets.
 GATE = rf"[0-9@]|{_TITLE} "
 
+#: Attempts within the usual format of numbers and addresses.
+PLAIN = 6
 ENTITY_TYPE = "struct<kind:string,canon:string,held:string>"
 
 
@@ -109,42 +114,55 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(chars, part), F.lit(0), lambda a, x: a + x)
 
 
-def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
+def parts_of(kind: Column, canon: Column) -> Column:
+    """What of an entity gets surrogates of its own: a name's given and family part, else the entity."""
+    of, name = F.substr(canon, F.lit(1), F.lit(2)), F.substr(canon, F.lit(4))
+    pair = lambda k, c: F.struct(k.alias("kind"), c.alias("canon"))
+    family = pair(F.lit("family"), F.concat(F.substr(of, F.lit(2), F.lit(1)), F.lit(":"), F.substring_index(name, " ", -1)))
+    given = pair(F.lit("given"), F.concat(of, F.lit(":"), F.substring_index(name, " ", 1)))
+    return F.when(kind == "name", F.when(name.contains(" "), F.array(given, family)).otherwise(F.array(family))).otherwise(F.array(pair(kind, canon)))
+
+
+def surrogate(kind: Column, canon: Column, attempt: int, key: str) -> Column:
     """A canonical form of the same kind, drawn from the key, the canonical form and the attempt."""
-    h0 = F.sha2(F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string")).cast("binary"), 256)
+    h0 = F.sha2(F.concat_ws("|", F.lit(key), kind, canon, F.lit(str(attempt))).cast("binary"), 256)
 
     def drawn(h: Column) -> Column:
         digits = _by_class(F.regexp_replace(canon, "[^0-9]", ""), h)
         n = F.length(canon)
+        more = [_pick(h, 18 + k, "0123456789") for k in range(min(12, attempt - PLAIN + 1))]
         local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, ".", -1)
-        email = F.concat(_by_class(local, h), F.lit("@"), *(_pick(h, 20 + k, "bcdfghjklmnprstvz") for k in range(5)), F.lit(".example."), F.when(domain.isin("com", "org", "net"), domain).otherwise("org"))
+        email = F.concat(_by_class(local, h), F.lit("@"), *(_pick(h, 20 + k, "bcdfghjklmnprstvz") for k in range(5 + attempt)), F.lit(".example."), F.when(domain.isin("com", "org", "net"), domain).otherwise("org"))
         area = F.concat(_pick(h, 0, "23456789"), F.substr(digits, F.lit(2), F.lit(2)))
-        phone = F.when(n >= 10, F.concat(F.substr(canon, F.lit(1), n - 10), area, F.lit("555"), F.substr(digits, n - 3, F.lit(4)))).otherwise(digits)
+        phone = F.when(n >= 10, F.concat(F.substr(canon, F.lit(1), n - 10), area, F.lit("555") if not attempt else F.substr(digits, n - 6, F.lit(3)), F.substr(digits, n - 3, F.lit(4)))).otherwise(digits)
         body = F.concat(F.substr(canon, F.lit(1), F.lit(1)), F.substr(digits, F.lit(2), n - 2))
         check = ((10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
         card = F.concat(body, F.when(_luhn(canon) % 10 == 0, check).otherwise(F.substr(digits, n, F.lit(1))))
         octet = lambda k: F.conv(F.substr(h, F.lit(2 * k + 1), F.lit(2)), 16, 10)
-        address = F.concat_ws(".", F.lit("10"), octet(0), octet(1), octet(2))
+        address = F.concat_ws(".", octet(3) if attempt else F.lit("10"), octet(0), octet(1), octet(2))
         iban = F.concat(F.substr(canon, F.lit(1), F.lit(2)), _by_class(F.substr(canon, F.lit(3)), h))
-        of = F.substr(canon, F.lit(1), F.lit(2))
-        given = F.coalesce(*(F.when(of == k, _pick(h, 1, v)) for k, v in GIVEN.items()))
-        family = F.initcap(F.coalesce(*(F.when(F.substr(canon, F.lit(2), F.lit(1)) == k, F.concat(*(_pick(h, 3 + i, v) for i in range(4)))) for k, v in SYLLABLES.items())))
-        name = F.concat(of, F.lit(":"), F.when(canon.contains(" "), F.concat(given, F.lit(" "), family)).otherwise(family))
+        of = F.substring_index(canon, ":", 1)
+        given = F.coalesce(*(F.when(of == k, F.concat_ws("-", *(_pick(h, 1 + 5 * i, v) for i in range(attempt + 1)))) for k, v in GIVEN.items()))
+        family = F.initcap(F.coalesce(*(F.when(of == k, F.concat(*(_pick(h, 3 + i, v) for i in range(4 + attempt)))) for k, v in SYLLABLES.items())))
+        ssn = F.concat(F.lit("9"), F.substr(digits, F.lit(2))) if attempt < PLAIN // 2 else digits
+        long = lambda x: F.concat(x, *more) if more else x
         return (
-            F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", F.concat(F.lit("9"), F.substr(digits, F.lit(2))))
-            .when(kind == "address", address).when(kind == "iban", iban).otherwise(name)
+            F.when(kind == "email", email).when(kind == "phone", long(phone)).when(kind == "card", long(card)).when(kind == "ssn", long(ssn)).when(kind == "address", long(address))
+            .when(kind == "iban", long(iban)).when(kind == "given", F.concat(of, F.lit(":"), given)).otherwise(F.concat(of, F.lit(":"), family))
         )
 
     return let(h0, drawn)
 
 
-def filled(held: Column, kind: Column, value: Column) -> Column:
-    """An occurrence with its letters and digits, or its name or address, taken from a surrogate's canonical form."""
+def filled(held: Column, kind: Column, values: Column) -> Column:
+    """An occurrence with its letters and digits, or its name or address, taken from the canonical forms of its parts' surrogates."""
+    value = F.element_at(values, 1)
     chars = F.filter(F.split(held, ""), lambda c: c != "")
     place = lambda i: F.length(F.regexp_replace(F.substr(held, F.lit(1), i + 1), "[^0-9A-Za-z]", ""))
     shaped = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("[0-9A-Za-z]"), F.substr(value, place(i), F.lit(1))).otherwise(c)), "")
-    name = F.concat(F.substring_index(held, " ", 1), F.lit(" "), F.regexp_replace(value, "^..:", ""))
-    return F.when(kind.isin("email", "address"), value).when(kind == "name", name).otherwise(shaped)
+    rest = F.substr(value, F.length(F.regexp_replace(held, "[^0-9A-Za-z]", "")) + 1)
+    name = F.concat_ws(" ", F.substring_index(held, " ", 1), F.transform(values, lambda v: F.substring_index(v, ":", -1)))
+    return F.when(kind.isin("email", "address"), value).when(kind == "name", name).otherwise(F.concat(shaped, rest))
 
 
 def assign(distinct: DataFrame, key: str) -> DataFrame:
@@ -152,7 +170,7 @@ def assign(distinct: DataFrame, key: str) -> DataFrame:
     real = distinct.select("kind", F.col("canon").alias("value"))
     done, pending, attempt = None, distinct, 0
     while True:
-        drawn = materialise(pending.withColumn("value", surrogate(F.col("kind"), F.col("canon"), F.lit(attempt), key)), "drawn")
+        drawn = materialise(pending.withColumn("value", surrogate(F.col("kind"), F.col("canon"), attempt, key)), "drawn")
         free = drawn.join(real, ["kind", "value"], "left_anti")
         if done is not None:
             free = free.join(done.select("kind", "value"), ["kind", "value"], "left_anti")
@@ -164,20 +182,23 @@ def assign(distinct: DataFrame, key: str) -> DataFrame:
             return done
 
 
-def replace(documents: DataFrame, key: str = "surrogates-1") -> DataFrame:
-    """documents with surrogates in text, and _pii_found: the kinds of the entities replaced, in order."""
-    has = F.coalesce(F.col("text").rlike(GATE) & F.col("text").rlike(ENTITY), F.lit(False))
-    clean = documents.where(~has).withColumn("_pii_found", F.array().cast("array<string>"))
-    dirty = documents.where(has).withColumn("_pii_blob", digest(F.col("text")))
-    found = materialise(
-        dirty.select("_pii_blob", entities(F.col("text")).alias("e")).groupBy("_pii_blob").agg(F.first("e").alias("e")), "entities"
-    )
-    rows = found.select("_pii_blob", F.posexplode("e").alias("at", "e")).select("_pii_blob", "at", "e.kind", "e.canon", "e.held")
-    values = materialise(assign(materialise(rows.select("kind", "canon").distinct(), "distinct"), key), "values")
-    put = F.struct("at", "kind", filled(F.col("held"), F.col("kind"), F.col("value")).alias("put"))
-    puts = materialise(
-        rows.join(values, ["kind", "canon"]).groupBy("_pii_blob").agg(F.array_sort(F.collect_list(put)).alias("_pii_puts")), "puts"
-    )
-    pieces = F.zip_with(F.split("text", ENTITY, -1), F.transform("_pii_puts", lambda p: p["put"]), lambda gap, p: F.concat(gap, F.coalesce(p, F.lit(""))))
-    done = dirty.join(puts, "_pii_blob").withColumns({"text": F.array_join(pieces, ""), "_pii_found": F.transform("_pii_puts", lambda p: p["kind"])})
-    return clean.unionByName(done.drop("_pii_blob", "_pii_puts"))
+def replace(documents: DataFrame, key: str = "surrogates-1", kinds: str | None = "_pii_found") -> DataFrame:
+    """documents with surrogates in text; the column named by `kinds` gets the kinds of the entities replaced, in order."""
+    packed = documents.select(F.struct("*").alias("row"))
+    text = F.col("row.text")
+    none = F.array().cast(f"array<{ENTITY_TYPE}>")
+    held = materialise(packed.select("row", F.when(text.rlike(GATE), entities(text)).otherwise(none).alias("e")), "entities")
+    dirty = held.where(F.size("e") > 0).withColumn("blob", digest(text))
+    found = dirty.groupBy("blob").agg(F.first("e").alias("e")).select("blob", F.posexplode("e").alias("at", "e"))
+    parts = found.select("blob", "at", F.col("e.kind").alias("of"), "e.held", F.posexplode(parts_of(F.col("e.kind"), F.col("e.canon"))).alias("part", "p"))
+    parts = materialise(parts.select("blob", "at", "of", "held", "part", "p.kind", "p.canon"), "parts")
+    values = materialise(assign(materialise(parts.select("kind", "canon").distinct(), "distinct"), key), "values")
+    value = F.transform(F.array_sort(F.collect_list(F.struct("part", "value"))), lambda v: v["value"])
+    whole = parts.join(values, ["kind", "canon"]).groupBy("blob", "at").agg(F.first("of").alias("of"), F.first("held").alias("held"), value.alias("v"))
+    put = F.struct("at", filled(F.col("held"), F.col("of"), F.col("v")).alias("put"))
+    puts = materialise(whole.groupBy("blob").agg(F.array_sort(F.collect_list(put)).alias("puts")), "puts")
+    pieces = F.zip_with(F.split(text, ENTITY, -1), F.transform("puts", lambda p: p["put"]), lambda gap, p: F.concat(gap, F.coalesce(p, F.lit(""))))
+    done = dirty.join(puts, "blob").select("row", F.array_join(pieces, "").alias("text"), F.transform("e", lambda e: e["kind"]).alias("kinds"))
+    both = held.where(F.size("e") == 0).select("row", text.alias("text"), F.array().cast("array<string>").alias("kinds")).unionByName(done)
+    columns = [(F.col("text") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in documents.columns]
+    return both.select(*columns, *([F.col("kinds").alias(kinds)] if kinds else []))

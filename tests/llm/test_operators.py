@@ -458,8 +458,53 @@ def test_surrogates_are_distinct_and_no_real_entity(spark):
     assert all(g[1] == g[2] for g in got) and len({g[1] for g in got}) == 300 and not {g[1] for g in got} & {m for _, m in mails}
 
 
+def test_more_entities_than_the_format_holds(spark):
+    """Every number of five digits, every given name twice over, and more family names than short ones: the drawing ends."""
+    rows = [("phone", f"{k:05d}") for k in range(10000, 10400)] + [("ssn", f"{k:02d}") for k in range(100)] + [("given", f"ml:N{k}") for k in range(300)] + [("family", f"l:F{k}") for k in range(300)]
+    got = pii.assign(spark.createDataFrame(rows, "kind string, canon string"), "k").collect()
+    assert sorted((r.kind, r.canon) for r in got) == sorted(rows)
+    assert len({(r.kind, r.value) for r in got}) == len(rows) and {(r.kind, r.value) for r in got}.isdisjoint(rows)
+
+
+def test_replacements_equal_a_plain_finder(spark, docs):
+    """Outside the entities nothing changes; an entity's surrogate depends on its canonical form alone, one to one, in its format."""
+    import regex
+
+    names = ["Mr. John Smith met Mr. Smith, Mrs. Jane Smith and Mrs. Smith", "г-н Иван Петров и г-жа Петрова, г-н Петров", "Mr. Smith wrote to Mr. John Smith again", "Herr Smith-Jones sah Herr John Smith-Jones"]
+    texts = [r.text for r in docs.collect()] + names + ["call 415-555-2671, 415.555.2671 or (415) 555-2671; " * 40, "a@b.org " * 3000]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.replace(table).collect()}
+    find = regex.compile(pii.ENTITY.replace(r"\p{IsCyrillic}", r"\p{Cyrillic}"))
+    seen, back = {}, {}
+    for k, text in enumerate(texts):
+        if text is None:
+            assert got[k].text is None
+            continue
+        gaps, held = find.split(text), find.findall(text)
+        assert len(held) == len(got[k]["_pii_found"])
+        made, at, news = got[k].text, len(gaps[0]), []
+        assert made.startswith(gaps[0])
+        for gap in gaps[1:]:
+            end = made.index(gap, at) if gap else len(made)
+            news.append(made[at:end])
+            at = end + len(gap)
+        assert at == len(made)
+        for kind, old, new in zip(got[k]["_pii_found"], held, news, strict=True):
+            title, *rest = old.split(" ") if kind == "name" else (None,)
+            canon = [old.lower()] if kind == "email" else [old] if kind == "address" else rest if kind == "name" else [regex.sub("[^0-9A-Z]", "", old)]
+            value = new.split(" ")[1:] if kind == "name" else [new if kind in ("email", "address") else regex.sub("[^0-9A-Z]", "", new)]
+            assert len(canon) == len(value) and (kind != "name" or new.split(" ")[0] == title)
+            if kind not in ("email", "address", "name"):
+                assert regex.sub("[0-9A-Za-z]", "x", old) == regex.sub("[0-9A-Za-z]", "x", new)
+            for place, (c, v) in enumerate(zip(canon, value, strict=True)):
+                part = kind if kind != "name" else "family" if place == len(canon) - 1 else "given"
+                assert seen.setdefault((part, c), v) == v and back.setdefault((part, v), c) == c
+                assert kind != "name" or bool(regex.match(r"\p{Cyrillic}", c)) == bool(regex.match(r"\p{Cyrillic}", v))
+    assert {c for _, c in seen}.isdisjoint(v for _, v in back)
+
+
 def test_colliding_surrogates_are_drawn_anew(spark, monkeypatch):
-    monkeypatch.setattr(pii, "surrogate", lambda kind, canon, attempt, key: F.concat(F.lit("s"), F.pmod(F.xxhash64(canon, attempt), F.lit(12)).cast("string")))
+    monkeypatch.setattr(pii, "surrogate", lambda kind, canon, attempt, key: F.concat(F.lit("s"), F.pmod(F.xxhash64(canon, F.lit(attempt)), F.lit(12)).cast("string")))
     table = spark.createDataFrame([("email", f"e{k}") for k in range(8)] + [("email", "s3")], "kind string, canon string")
     got = pii.assign(table, "k").collect()
     assert len(got) == 9 and len({r.value for r in got}) == 9 and "s3" not in {r.value for r in got}
