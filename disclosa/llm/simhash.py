@@ -7,7 +7,8 @@ bucket is cut. Within a bucket fingerprints are sorted by Gray rank; groups of n
 two groups are dropped when those bits already differ in more than two places, level by level down to the fingerprints.
 
 Null and empty texts have fingerprint zero and are linked like any other; texts are taken whole; repeated rows link with
-each other; an empty table gives an empty result; further columns of the input are ignored.
+each other; an empty table gives an empty result; further columns of the input are kept by one_of_each() and ignored
+otherwise.
 """
 
 from __future__ import annotations
@@ -178,12 +179,8 @@ def same_texts(documents: DataFrame, prints: DataFrame) -> DataFrame:
     return equal.unionByName(near.join(one, "a").join(two, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
 
 
-def near_duplicates(documents: DataFrame, shingles: bool = True) -> DataFrame:
-    """doc_id, fp, component_id (smallest doc_id reachable over links) for every row.
-
-    Links are fingerprints of at most two bits' distance and, with shingles, texts whose sets of five-word shingles have
-    a Jaccard similarity of 0.8 or more.
-    """
+def grouped(documents: DataFrame, shingles: bool) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp of every row; fp, component, component_id of every fingerprint)."""
     prints = materialise(similar.prints(documents, fingerprint) if shingles else fingerprints(documents), "prints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = links(nodes.select("fp"))
@@ -192,5 +189,44 @@ def near_duplicates(documents: DataFrame, shingles: bool = True) -> DataFrame:
     labels = components(found).select(F.col("node").alias("fp"), "component")
     named = materialise(nodes.join(labels, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component")), "named")
     smallest = materialise(named.groupBy("component").agg(F.min("least").alias("component_id")), "smallest")
-    of = materialise(named.join(smallest, "component").select("fp", "component_id"), "of")
+    return prints.select("doc_id", "fp"), materialise(named.join(smallest, "component").select("fp", "component", "component_id"), "of")
+
+
+def near_duplicates(documents: DataFrame, shingles: bool = True) -> DataFrame:
+    """doc_id, fp, component_id (smallest doc_id reachable over links) for every row.
+
+    Links are fingerprints of at most two bits' distance and, with shingles, texts whose sets of five-word shingles have
+    a Jaccard similarity of 0.8 or more.
+    """
+    prints, of = grouped(documents, shingles)
     return prints.join(of, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """One row of each component of near copies, with all its columns: the one with the smallest doc_id.
+
+    Of rows without an id or that share one, those go whose component has another row to stay; else the first by id
+    (null last) and text stays. While the ids that go are few, the texts are not shuffled.
+    """
+    prints, of = grouped(documents, shingles=True)
+    rows = prints.join(of, "fp")
+    ids = materialise(rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("component_id"), F.min("component").alias("component")), "ids")
+    odd = ids.where("n > 1 or doc_id is null")
+    gone = materialise(ids.where("doc_id is not null and (n > 1 or doc_id <> component_id)").select("doc_id"), "gone")
+    plain = documents.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(*documents.columns)
+    if not odd.limit(1).count():
+        return plain
+    names = odd.select(F.col("doc_id").alias("_odd"))
+    held = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("_text"))
+    held = held.join(names, held["_id"].eqNullSafe(names["_odd"]), "left_semi")
+    kind = held.schema["row"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([fingerprint(t.as_py() or "") for t in batch.column(1)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["row", "fp"])
+
+    led = ids.where("n = 1 and doc_id = component_id").select("component")
+    left = held.select("row", "_text").mapInArrow(run, f"row {kind}, fp long").join(of, "fp").join(led, "component", "left_anti")
+    first = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.col("row.text"))
+    return plain.unionByName(left.groupBy("component").agg(F.min_by("row", first).alias("row")).select("row.*"))

@@ -270,6 +270,16 @@ def test_similar_texts_equal_brute_force(spark):
     assert len(narrow) > len(set(named.values()))
 
 
+def test_one_row_of_each_group_stays_whatever_the_ids(spark, docs, none):
+    same = "one two three four five six seven eight nine ten"
+    rows = [(1, same), (1, same), (None, same), (2, same), (None, "a b c d e f"), (None, "a b c d e f"), (7, "p q r s t u"), (7, "v w x y z k l m"), (3, "v w x y z k l m"), (9, None), (8, "")]
+    got = simhash.one_of_each(spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, row long"))
+    assert got.columns == ["doc_id", "text", "row"]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(1, same), (None, "a b c d e f"), (7, "p q r s t u"), (3, "v w x y z k l m"), (8, "")], key=str)
+    assert simhash.one_of_each(none).count() == 0
+    assert simhash.one_of_each(docs).count() == len({r.component_id for r in simhash.near_duplicates(docs).collect()})
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_gray_index_finds_all_pairs(seed):
     rng = np.random.default_rng(seed)
