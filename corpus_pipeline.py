@@ -2,9 +2,11 @@
 are mixed to their weights, and what is left is encoded.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each stage's result to the shared folder and
-reads it back, so a lost executor repeats one stage's tasks at most. All stages but the last return the columns of
-documents. Rows without a doc_id or text pass through every stage (a null text is not toxic, its fingerprint is zero, it
-has no entities and size 0, so the mix never takes it).
+reads it back, so a lost executor repeats one stage's tasks at most. All stages but the last return the five columns of
+documents; further columns of docs are left out. Rows without a text pass through the first three stages as empty ones
+do (not toxic unless training says so, fingerprint zero, no entities) and have size 0, so the mix never takes them. Rows
+without a doc_id, or that share one, are documents of their own; near copies among them go like any other. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,28 +24,24 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the convolutional classifier scores below 0.5; it learns from the labelled ones outside its fold."""
+    """Documents that the convolutional classifier scores below their language's threshold; it learns from the labelled ones outside its fold."""
     docs = docs.select(*COLUMNS)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored_rows(docs, model, COLUMNS[1:]).where("score < 0.5").select(*COLUMNS)
+    return toxicity.scored_rows(docs, model, COLUMNS[1:]).where(F.col("score") < toxicity.bound(model)).select(*COLUMNS)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each component of near copies, by fingerprints or by five-word shingles."""
-    docs = docs.select(*COLUMNS)
-    stays = F.bool_or(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    gone = simhash.near_duplicates(docs).groupBy("doc_id").agg(stays.alias("stays")).where("not stays").select("doc_id")
-    # The ids that go are fewer than those that stay; while they are few, the texts are not shuffled.
-    return docs.join(materialise(gone, "gone"), "doc_id", "left_anti").select(*COLUMNS)
+    """One document of each component of near copies, by fingerprints or by five-word shingles: the one with the smallest doc_id."""
+    return simhash.one_of_each(docs.select(*COLUMNS))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, its personal data replaced, n_chars counted anew."""
-    return pii.replace(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    return pii.replace(docs.select(*COLUMNS), kinds=None).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them, in the order of its schedule."""
     return mixing.mixed_rows(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
