@@ -26,10 +26,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from disclosa.llm.common import kept_by_worker
+
 #: Fixed value: the published pattern that cuts a text into words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words that a Python worker keeps the tokens of.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 150_000
 #: Bytes of a word that is merged in a list.
 SHORT = 64
 #: Characters of the texts whose new words are encoded together and whose rows leave together, about; a longer text is a group by itself.
@@ -362,9 +364,6 @@ class Encoder:
         return np.frombuffer(next(self.groups(iter([text])))[0][0], dtype=np.int32).tolist()
 
 
-_held: dict[tuple[str, bool], Encoder] = {}
-
-
 def load(path: str) -> Merger:
     with open(path, encoding="utf-8") as f:
         return Merger(f.read())
@@ -398,10 +397,7 @@ def encode_table(documents: DataFrame, vocabulary: str, digests: bool = False) -
         return hashlib.sha256(x).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (mark, digests) not in _held:
-            _held.clear()
-            _held[mark, digests] = Encoder(pickle.loads(shipped.value), decimal if digests else packed)
-        coder = _held[mark, digests]
+        coder = kept_by_worker((mark, digests), lambda: Encoder(pickle.loads(shipped.value), decimal if digests else packed))
         for batch in batches:
             at = 0
             for shown, raw in coder.groups(x.as_py() or "" for x in batch.column(1)):

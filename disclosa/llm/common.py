@@ -32,7 +32,29 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/disclosa/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete what materialise() wrote for tables that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_written", None):
+            where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
+#: What a Python worker keeps between tasks: the tables of one operator at a time.
+_kept: dict[object, object] = {}
+
+
+def kept_by_worker(key: object, make: Callable[[], object]) -> object:
+    """make(), made once a worker while the same operator runs; what another operator left is let go."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from disclosa.llm.common import materialise
+from disclosa.llm.common import discard, materialise
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -27,6 +27,8 @@ def components(links: DataFrame) -> DataFrame:
         new = materialise(
             hop.join(of, hop.label == of.at, "left").select("node", F.least("label", F.coalesce("next", "label")).alias("label"), "old"), "labels"
         )
-        labels = new.select("node", "label")
+        discard(hop, labels)
+        labels = new
         if not new.where("label <> old").limit(1).count():
-            return labels.withColumnRenamed("label", "component")
+            discard(both)
+            return new.select("node", F.col("label").alias("component"))

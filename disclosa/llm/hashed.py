@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words whose hashes a Python worker keeps.
-KEPT = 300_000
+KEPT = 150_000
 
 
 class Codes(dict):
@@ -25,16 +25,13 @@ class Codes(dict):
         return code
 
 
-_codes = Codes()
-
-
 def coder(pattern: str, lower: bool) -> Callable[[str | None], np.ndarray]:
     """A function from a text to the hashes of its words, in order."""
-    find = re.compile(pattern).findall
+    find, codes = re.compile(pattern).findall, Codes()
 
     def run(text: str | None) -> np.ndarray:
         words = find(text.lower() if lower else text) if text else []
-        return np.fromiter(map(_codes.__getitem__, words), dtype=np.int64, count=len(words))
+        return np.fromiter(map(codes.__getitem__, words), dtype=np.int64, count=len(words))
 
     return run
 

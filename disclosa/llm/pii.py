@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from disclosa.llm.common import digest, let, materialise
+from disclosa.llm.common import digest, discard, let, materialise
 
 #: Titles that show a gender, by gender.
 TITLES = {
@@ -179,6 +179,7 @@ def assign(distinct: DataFrame, key: str) -> DataFrame:
         pending = drawn.select("kind", "canon").join(good.select("kind", "canon"), ["kind", "canon"], "left_anti")
         attempt += 1
         if not pending.limit(1).count():
+            discard(drawn)
             return done
 
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from disclosa.llm.common import materialise
+from disclosa.llm.common import discard, materialise
 from disclosa.llm.components import components
 
 #: Words of a shingle, its seed. Two sets are similar if the shared shingles are 4/5 of all of theirs.
@@ -29,6 +29,8 @@ SHINGLE, SEED = 5, 42
 SAMPLE, HELD = 20_000, 500_000
 #: Rounds of stars, and the centres that a node is compared with in a round.
 ROUNDS, STARS = 1, 4
+#: Ids of texts that are sent to every task, at most; more are joined by an exchange.
+SENT = 500_000
 #: Nodes of a key that are compared in one task's block, about.
 BLOCK = 1024
 
@@ -134,15 +136,31 @@ def apart(held: DataFrame) -> DataFrame:
     return lists.select("rows").mapInArrow(run, "a long, b long").distinct()
 
 
-def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs(a, b) whose sets(node, hashes) have a Jaccard similarity of 0.8 or more."""
+def similar(pairs: DataFrame, documents: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs(a, b) of nodes(node, least) whose whole sets have a Jaccard similarity of 0.8 or more.
+
+    Sets are made anew from the texts of the pairs' ends: the texts of all others stay where they are.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(t.as_py() or "") for t in batch.column(0)]
+            out = [pa.array([node_of(h) for h in found], type=pa.int64()), pa.array([h.view(np.int64) for h in found], type=pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(out, names=["node", "hashes"])
+
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    mine = materialise(sets.join(ends, "node", "left_semi"), "ends")
-    one = mine.select(F.col("node").alias("a"), F.col("hashes").alias("_a"))
-    two = mine.select(F.col("node").alias("b"), F.col("hashes").alias("_b"))
+    wanted = materialise(nodes.join(ends, "node", "left_semi").select(F.col("least").alias("_least")).distinct(), "wanted")
+    few = wanted.schema["_least"].dataType.simpleString() in ("bigint", "int") and wanted.count() <= SENT
+    texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
+    texts = texts.join(F.broadcast(wanted) if few else wanted, texts["doc_id"].eqNullSafe(wanted["_least"]), "left_semi").select("text")
+    sets = materialise(texts.mapInArrow(run, "node long, hashes array<long>"), "sets")
+    one = sets.select(F.col("node").alias("a"), F.col("hashes").alias("_a"))
+    two = sets.select(F.col("node").alias("b"), F.col("hashes").alias("_b"))
     shared = F.size(F.array_intersect("_a", "_b"))
-    both = pairs.join(one, "a").join(two, "b")
-    return both.where(9 * shared >= 4 * (F.size("_a") + F.size("_b"))).select("a", "b")
+    both = pairs.join(one, "a").join(two, "b")  # texts that share an id may give a node twice
+    out = materialise(both.where(9 * shared >= 4 * (F.size("_a") + F.size("_b"))).select("a", "b").distinct(), "similar")
+    discard(wanted, sets)
+    return out
 
 
 def links(documents: DataFrame, held_prints: DataFrame) -> DataFrame:
@@ -150,26 +168,15 @@ def links(documents: DataFrame, held_prints: DataFrame) -> DataFrame:
     nodes = held_prints.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("keys").alias("keys"))
     nodes = materialise(nodes, "nodes")
     rows = nodes.select("node", "size", F.posexplode("keys").alias("pos", "key"))
-    shared = materialise(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     held = materialise(rows.join(shared, "key"), "held")
     degrees = held.groupBy("node").agg(F.sum("n").alias("degree"))
-    held = materialise(held.drop("n").join(degrees, "node"), "graded")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(t.as_py() or "") for t in batch.column(0)]
-            out = [pa.array([node_of(h) for h in found], type=pa.int64()), pa.array([h.view(np.int64) for h in found], type=pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(out, names=["node", "hashes"])
-
-    wanted = materialise(nodes.join(held.select("node").distinct(), "node", "left_semi").select(F.col("least").alias("_least")), "wanted").distinct()
-    texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
-    texts = texts.join(wanted, texts.doc_id.eqNullSafe(wanted["_least"]), "left_semi").select("text")
-    sets = materialise(texts.mapInArrow(run, "node long, hashes array<long>").dropDuplicates(["node"]), "sets")
-
     found, labels = None, None
     for k in range(ROUNDS):
         graded = held.withColumn("component", F.col("node")) if labels is None else held.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         order = F.xxhash64("node", "key", F.lit(k))
+        if not k:
+            graded = graded.join(degrees, "node")
         centre = F.max(F.struct(*([] if k else ["degree"]), order.alias("h"), "node", "size", "pos", "component")).alias("c")
         met = graded.join(graded.groupBy("key").agg(centre), "key").where(
             (F.col("component") != F.col("c.component")) & may_reach(F.col("size"), F.col("c.size"), F.col("pos"), F.col("c.pos"))
@@ -177,8 +184,12 @@ def links(documents: DataFrame, held_prints: DataFrame) -> DataFrame:
         met = met.select("node", F.col("c.node").alias("other")).distinct()
         met = met.withColumn("_n", F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("node", "other")))).where(F.col("_n") <= STARS)
         stars = materialise(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "stars")
-        near = materialise(similar(stars, sets), "near")
+        near = similar(stars, documents, nodes)
         found = near if found is None else found.unionByName(near)
         labels = components(found)
+        discard(stars)
     left = held.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return found.unionByName(materialise(similar(materialise(apart(left), "apart"), sets), "second"))
+    pairs = materialise(apart(left), "apart")
+    out = found.unionByName(similar(pairs, documents, nodes))
+    discard(pairs, held, nodes)
+    return out
