@@ -16,7 +16,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import pickle
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -364,9 +363,13 @@ class Encoder:
         return np.frombuffer(next(self.groups(iter([text])))[0][0], dtype=np.int32).tolist()
 
 
-def load(path: str) -> Merger:
+def read(path: str) -> str:
     with open(path, encoding="utf-8") as f:
-        return Merger(f.read())
+        return f.read()
+
+
+def load(path: str) -> Merger:
+    return Merger(read(path))
 
 
 def list_array(rows: list[bytes], kind: pa.DataType, value: pa.DataType | None = None, width: int = 1) -> pa.Array:
@@ -382,11 +385,12 @@ def list_array(rows: list[bytes], kind: pa.DataType, value: pa.DataType | None =
 def encode_table(documents: DataFrame, vocabulary: str, digests: bool = False) -> DataFrame:
     """doc_id with tokens (array<int>) and decoded text of every row, or with their count and digests.
 
-    vocabulary: a file's path, read by the driver; its tables go to the executors once (a few MB, whatever the corpus).
+    vocabulary: a file's path, read by the driver; its text goes to the executors once (a few MB, whatever the corpus),
+    and each worker makes its tables from it.
     """
     spark = documents.sparkSession
-    tables = pickle.dumps(load(vocabulary))
-    shipped, mark = spark.sparkContext.broadcast(tables), hashlib.sha256(tables).hexdigest()
+    source = read(vocabulary)
+    shipped, mark = spark.sparkContext.broadcast(source), hashlib.sha256(source.encode()).hexdigest()
     kind = documents.schema["doc_id"].dataType.simpleString()
     made = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "tokens array<int>, decoded string"
 
@@ -397,7 +401,7 @@ def encode_table(documents: DataFrame, vocabulary: str, digests: bool = False) -
         return hashlib.sha256(x).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = kept_by_worker((mark, digests), lambda: Encoder(pickle.loads(shipped.value), decimal if digests else packed))
+        coder = kept_by_worker((mark, digests), lambda: Encoder(Merger(shipped.value), decimal if digests else packed))
         for batch in batches:
             at = 0
             for shown, raw in coder.groups(x.as_py() or "" for x in batch.column(1)):
