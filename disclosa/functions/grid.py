@@ -11,10 +11,20 @@ CELL = "struct<row:int,col:int,text:string,rowspan:int,colspan:int,tag:string>"
 
 
 def rows_of(cells: Column) -> Column:
-    """array<array<cell>>: rows 0 to the last, empty ones kept, cells by column."""
-    held = F.array_sort(cells)
-    by_row = lambda c: F.transform(F.sequence(F.lit(0), F.array_max(F.transform(c, lambda x: x["row"]))), lambda r: F.filter(c, lambda x: x["row"] == r))
-    return let(held, lambda c: F.when(F.size(c) > 0, by_row(c)).otherwise(F.array().cast(f"array<array<{CELL}>>")))
+    """array<array<cell>>: rows 0 to the last, empty ones kept, cells by column.
+
+    Cells are sorted by row, so a row is the slice that begins at its first cell: found by its place, not by a filter
+    over all cells for each row.
+    """
+
+    def cut(c: Column) -> Column:
+        numbers = F.transform(c, lambda x: x["row"])
+        first = F.filter(F.transform(c, lambda x, i: F.struct(x["row"].alias("row"), i.alias("at"))), lambda x: (x["at"] == 0) | (F.get(c, x["at"] - 1)["row"] != x["row"]))
+        ends = lambda f: F.map_from_entries(F.transform(f, lambda x, k: F.struct(x["row"], F.struct((x["at"] + 1).alias("at"), (F.coalesce(F.get(f, k + 1)["at"], F.size(c)) - x["at"]).alias("n")))))
+        rows = lambda m: F.transform(F.sequence(F.lit(0), F.array_max(numbers)), lambda r: let(F.try_element_at(m, r), lambda e: F.when(e.isNull(), F.array().cast(f"array<{CELL}>")).otherwise(F.slice(c, e["at"], e["n"]))))
+        return F.when(F.size(c) > 0, let(let(first, ends), rows)).otherwise(F.array().cast(f"array<array<{CELL}>>"))
+
+    return let(F.array_sort(cells), cut)
 
 
 def header_rows(rows: Column) -> Column:
@@ -30,14 +40,13 @@ def widths(rows: Column) -> Column:
 
 def usual_width(counts: Column) -> Column:
     """The most frequent width; of equally frequent ones the first seen."""
-    tally = F.transform(F.array_distinct(counts), lambda w: F.struct((-F.size(F.filter(counts, lambda x: x == w))).alias("n"), F.array_position(counts, w).alias("at"), w.alias("w")))
-    return F.array_min(tally)["w"]
+    tally = lambda c: F.transform(F.array_distinct(c), lambda w: F.struct((-F.size(F.filter(c, lambda x: x == w))).alias("n"), F.array_position(c, w).alias("at"), w.alias("w")))
+    return let(counts, lambda c: F.array_min(tally(c))["w"])
 
 
 def odd_rows(counts: Column) -> Column:
     """Numbers of the rows whose width is not the usual one."""
-    usual = usual_width(counts)
-    return let(usual, lambda u: F.filter(F.transform(counts, lambda w, i: F.when(w != u, i)), lambda i: i.isNotNull()))
+    return let(counts, lambda c: let(usual_width(c), lambda u: F.filter(F.transform(c, lambda w, i: F.when(w != u, i)), lambda i: i.isNotNull())))
 
 
 def shape_note(counts: Column) -> Column:

@@ -184,13 +184,13 @@ def title_level(title: Column) -> Column:
 
 def distinct_neighbours(cells: Column) -> Column:
     """A row without cells that repeat the cell before them."""
-    return F.filter(cells, lambda x, i: (i == 0) | ~x.eqNullSafe(F.get(cells, i - 1)))
+    return let(cells, lambda c: F.filter(c, lambda x, i: (i == 0) | ~x.eqNullSafe(F.get(c, i - 1))))
 
 
 def row_line(cells: Column) -> Column:
     """A table row as a line; null if there is nothing but blanks and bars."""
     line = strip(F.array_join(distinct_neighbours(F.transform(cells, strip)), " | "))
-    return F.when(~line.rlike("^[ |]*$"), line)
+    return let(line, lambda x: F.when(~x.rlike("^[ |]*$"), x))
 
 
 def line_windows(text: Column, window: int = 12, stride: int = 8) -> Column:
@@ -208,9 +208,12 @@ def line_windows(text: Column, window: int = 12, stride: int = 8) -> Column:
 
 def block(text: Column, patterns: list[str], span: int = 1) -> Column:
     """The first line that holds all patterns and the lines after it, `span` in all; null if there is none."""
-    lines = F.split(text, "\n")
-    at = F.array_position(F.transform(lines, lambda x: reduce(lambda a, b: a & b, (x.contains(p) for p in patterns))), True)
-    return F.when(at > 0, F.array_join(F.slice(lines, at.cast("int"), F.lit(span)), "\n"))
+
+    def cut(lines: Column) -> Column:
+        at = F.array_position(F.transform(lines, lambda x: reduce(lambda a, b: a & b, (x.contains(p) for p in patterns))), True)
+        return let(at, lambda k: F.when(k > 0, F.array_join(F.slice(lines, k.cast("int"), F.lit(span)), "\n")))
+
+    return let(F.split(text, "\n"), cut)
 
 
 def highlight(text: Column, needles: Column) -> Column:

@@ -74,26 +74,24 @@ def snapshot_id(manifest_sha: Column, universe_sha: Column) -> Column:
     return F.concat(F.lit("snap_"), F.substring(sha(F.concat_ws("|", manifest_sha, universe_sha)), 1, 16))
 
 
-def allocation(sizes: list[tuple[tuple, int]], total: int) -> dict[tuple, int]:
-    """Rows to draw from each stratum: its share rounded down, one at least, what is left by largest remainder in turns.
+def allocation(strata: DataFrame, total: int) -> DataFrame:
+    """strata(doc_group, tier, stratum_size) with quota: the rows to draw from each.
 
-    If the minimum of one draws too many, the largest allocations shrink again. Strata are few (group times tier).
+    A stratum gets its share rounded down, one at least. Rows that are still missing are single units handed out in
+    rounds, larger remainders first within a round; where the minimum of one gave too many, the highest units go first.
+    Windows without partitions: the table has a row for each stratum (group times tier), and total * strata units.
     """
-    order = sorted(sizes)
-    everything = sum(n for _, n in order)
-    if not everything:
-        return {}
-    share = {k: total * n / everything for k, n in order}
-    size = dict(order)
-    out = {k: min(n, max(1, int(share[k]))) for k, n in order}
-    turns = sorted(out, key=lambda k: -(share[k] - int(share[k])))
-    while sum(out.values()) < min(total, everything):
-        for k in turns:
-            if sum(out.values()) < total and out[k] < size[k]:
-                out[k] += 1
-    while sum(out.values()) > total and max(out.values()) > 1:
-        out[max(out, key=out.get)] -= 1
-    return out
+    every = Window.partitionBy(F.lit(1))
+    order = ["doc_group", "tier"]
+    whole = F.sum("stratum_size").over(every)
+    share = F.col("stratum_size") * total / whole
+    first = strata.where("stratum_size > 0").withColumns({"share": share, "goal": F.least(whole, F.lit(total))})
+    first = first.withColumn("base", F.greatest(F.lit(1), F.floor("share"))).withColumn("over", F.sum("base").over(every) - F.col("goal"))
+    units = first.withColumn("unit", F.explode(F.expr("sequence(1, greatest(base, least(stratum_size, base - least(over, 0))))")))
+    extra = units.where("unit > base").withColumn("nth", F.row_number().over(Window.orderBy(F.col("unit") - F.col("base"), F.desc(F.col("share") - F.floor("share")), *order)))
+    spare = units.where("unit > 1 and unit <= base").withColumn("nth", F.row_number().over(Window.orderBy(F.desc("unit"), *order)))
+    kept = units.where("unit = 1").withColumn("nth", F.lit(0)).unionByName(extra.where("nth <= -over")).unionByName(spare.where("nth > over"))
+    return kept.groupBy("doc_group", "tier").agg(F.max("stratum_size").alias("stratum_size"), F.count("*").cast("int").alias("quota"))
 
 
 def stratified(audits: DataFrame, total: int = 90, seed: int = 0) -> DataFrame:
@@ -101,11 +99,9 @@ def stratified(audits: DataFrame, total: int = 90, seed: int = 0) -> DataFrame:
 
     Members are drawn by a keyed hash, so they do not depend on order or partitions.
     """
-    sizes = [((r["doc_group"], r["tier"]), r["n"]) for r in histogram(audits, "doc_group", "tier").collect()]
-    quota = [(*k, n, dict(sizes)[k]) for k, n in allocation(sizes, total).items()]
-    table = audits.sparkSession.createDataFrame(quota, "doc_group string, tier string, quota int, stratum_size long")
+    quota = allocation(histogram(audits, "doc_group", "tier").withColumnRenamed("n", "stratum_size"), total)
     drawn = Window.partitionBy("doc_group", "tier").orderBy(sha(F.concat(F.lit(f"{seed}:"), F.col("doc_id").cast("string"))), "doc_id")
-    return audits.join(table, ["doc_group", "tier"]).withColumn("nth", F.row_number().over(drawn)).where("nth <= quota").drop("nth")
+    return audits.join(quota, ["doc_group", "tier"]).withColumn("nth", F.row_number().over(drawn)).where("nth <= quota").drop("nth")
 
 
 def fixed_sample(df: DataFrame, by: str, n: int, seed: int = 0) -> DataFrame:

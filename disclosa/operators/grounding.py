@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from disclosa.functions.text import allowed_numbers, collapse, fabricated, foreign_years, iso_date, judgements, later_dates, numbers
+from disclosa.functions.text import allowed_numbers, collapse, fabricated, foreign_years, iso_date, judgements, later_dates, let, numbers
 
 SUPPORTED, PARTLY, NOT = "SUPPORTED", "PARTIALLY_SUPPORTED", "UNSUPPORTED"
 
@@ -45,6 +45,33 @@ def degrade(drafts: DataFrame, extracts: DataFrame) -> DataFrame:
     return drafts.join(extracts.withColumnRenamed("answer", "extract"), "answer_id", "left").select("answer_id", F.when(bad, F.col("extract")).otherwise(F.col("answer")).alias("answer"), bad.alias("degraded"))
 
 
+def containing(texts: DataFrame, needles: DataFrame, text_id: str, needle_id: str) -> DataFrame:
+    """text_id, needle_id of texts(text_id, text) that hold needles(needle_id, needle) whole.
+
+    Containment has no key of its own. A needle's second to fourth word, between white space, is a run of words of every
+    text that holds it, so candidates meet on that run and are then compared whole. Needles without three inner words
+    meet on their first three characters (fewer: all of them), which costs a text its distinct runs of characters; that
+    way is taken only where there are such needles.
+    """
+    run = r"^\S*\s+(\S+)\s+(\S+)\s+(\S+)\s"
+    part = lambda k: F.regexp_extract("needle", run, k)
+    key = F.when(F.col("needle").rlike(run), F.concat_ws(" ", part(1), part(2), part(3)))
+    held = needles.where("needle is not null").select(needle_id, "needle", key.alias("key"))
+    three = let(
+        F.split("text", r"\s+"),
+        lambda w: F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 3, F.lit(0))), lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))),
+    )
+    keyed = texts.where("text is not null").select(text_id, F.explode(three).alias("key")).join(held.where("key is not null"), "key")
+    short = held.where("key is null").select(needle_id, "needle", F.substring("needle", 1, 3).alias("key"))
+    sizes = [r[0] for r in short.select(F.length("key")).distinct().collect()]  # four at most
+    for n in sizes:
+        runs = F.array(F.lit("")) if not n else F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("text") - n + 1, F.lit(1))), lambda i, n=n: F.substring(F.col("text"), i, F.lit(n))))
+        met = texts.where("text is not null").select(text_id, F.explode(runs).alias("key")).join(short.where(F.length("key") == n), "key")
+        keyed = keyed.unionByName(met)
+    whole = keyed.select(text_id, needle_id, "needle").join(texts.select(text_id, "text"), text_id)
+    return whole.where(F.col("text").contains(F.col("needle"))).select(text_id, needle_id).distinct()
+
+
 def newly_grounded(evidence: DataFrame, found: DataFrame) -> DataFrame:
     """Evidence whose source text stands in one of the texts found for the same case; equi-join on case_id first."""
     pair = evidence.join(found.select("case_id", "text").withColumnRenamed("text", "_text"), "case_id")

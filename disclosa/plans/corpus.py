@@ -84,15 +84,17 @@ def snapshot_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", corpus.snapshot_id(corpus.sha(F.col("text")), corpus.sha(F.col("source"))).alias("snapshot_id"))
 
 
-@query(f"""WITH {AUDIT_SQL}, s AS (SELECT doc_group, tier, count(*) AS size, 90.0 * count(*) / (SELECT count(*) FROM a) AS share FROM a GROUP BY 1, 2) SELECT doc_group, tier, size, share >= 0 AS in_range FROM s""")
+@query(f"""WITH {AUDIT_SQL}, s AS (SELECT doc_group, tier, count(*) AS size, 90::DOUBLE * count(*) / (SELECT count(*) FROM a) AS share FROM a GROUP BY 1, 2),
+ b AS (SELECT *, greatest(1, floor(share))::BIGINT AS base FROM s), o AS (SELECT sum(base)::BIGINT - least(90, sum(size)::BIGINT) AS over FROM b),
+ u AS (SELECT b.*, over, unnest(range(1, greatest(base, least(size, base - least(over, 0))) + 1)) AS unit FROM b, o),
+ e AS (SELECT doc_group, tier, row_number() OVER (ORDER BY unit - base, share - floor(share) DESC, doc_group, tier) <= -over AS has FROM u WHERE unit > base),
+ t AS (SELECT doc_group, tier, row_number() OVER (ORDER BY unit DESC, doc_group, tier) > over AS has FROM u WHERE unit > 1 AND unit <= base),
+ q AS (SELECT doc_group, tier, 1 + (SELECT count(*) FROM e WHERE has AND e.doc_group = s.doc_group AND e.tier = s.tier) + (SELECT count(*) FROM t WHERE has AND t.doc_group = s.doc_group AND t.tier = s.tier) AS quota FROM s),
+ r AS (SELECT *, row_number() OVER (PARTITION BY doc_group, tier ORDER BY sha256('0:' || doc_id::VARCHAR), doc_id) AS nth FROM a)
+ SELECT r.doc_group, r.tier, r.doc_id, q.quota FROM r JOIN q ON q.doc_group = r.doc_group AND q.tier = r.tier WHERE nth <= quota""")
 def strat_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stratum, and whether its drawn rows lie within one of its share, or of the minimum of one."""
-    a = audits(spark, sf_dir)
-    drawn = corpus.stratified(a).groupBy("doc_group", "tier").agg(F.count("*").alias("n"), F.first("stratum_size").alias("size"))
-    total = drawn.agg(F.sum("size").alias("all")).withColumn("_k", F.lit(1))
-    share = 90.0 * F.col("size") / F.col("all")
-    near = (F.col("n") >= 1) & (F.col("n") <= F.col("size")) & (F.col("n") <= F.greatest(F.lit(1.0), share) + 1) & (F.col("n") >= F.least(F.col("size"), share) - 1)
-    return drawn.withColumn("_k", F.lit(1)).join(total, "_k").select("doc_group", "tier", "size", near.alias("in_range"))
+    """The stratified draw of 90 documents, each with its stratum's allocation."""
+    return corpus.stratified(audits(spark, sf_dir)).select("doc_group", "tier", "doc_id", F.col("quota").cast("long").alias("quota"))
 
 
 @query(f"WITH {AUDIT_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY doc_group ORDER BY sha256('0:' || doc_id::VARCHAR), doc_id) AS nth FROM a) SELECT doc_group, doc_id FROM r WHERE nth <= 20")
@@ -118,23 +120,11 @@ def manifest_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grounding.manifest_consistency(docs, real, case).select("doc_id", "problem")
 
 
-@query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, substr(b.text, 1, 80))")
+@query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def grounding_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that hold the first 80 characters of a benchmark item.
-
-    A containment join has no key of its own: both sides get the runs of 40 characters that start with the first word
-    after a blank in the needle, so that candidates meet on an equal key and are then compared whole.
-    """
-    needle = table(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 80).alias("needle"))
-    first = F.regexp_extract("needle", r"\s(\S+\s\S+\s\S+)\s", 1)
-    keyed = needle.withColumn("key", first)
-    words = F.split("text", r"\s")
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 3, F.lit(0))), lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    wanted = keyed.where("key <> ''").select(F.regexp_replace("key", r"\s", " ").alias("key"), "item_id", "needle")
-    hits = docs.select("doc_id", F.explode(grams).alias("key")).join(wanted, "key").select("doc_id", "item_id", "needle")
-    whole = hits.join(docs, "doc_id").where(F.col("text").contains(F.col("needle"))).select("doc_id", "item_id")
-    return whole.distinct()
+    """Documents that hold a whole benchmark item."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return grounding.containing(docs.select("doc_id", "text"), items.select("item_id", F.col("text").alias("needle")), "doc_id", "item_id")
 
 
 FACTS = ("현금및현금성자산 239,036,839,774", "투자금액 473,200,000,000 2023년")
@@ -162,13 +152,12 @@ def quote_scope_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.join(s, ["conv_id", "turn"]).select("conv_id", "turn", F.col("scope").contains(F.col("quote")).alias("in_doc"))
 
 
-@query("SELECT * FROM (VALUES ('document', 'D2'), ('event', 'periodic_1'), ('name', '9'), ('name', 'major_9'), ('future-date', '2025-01-01')) AS v(kind, what)")
+@query("SELECT * FROM (VALUES ('document', 'D2'), ('event', 'periodic_1'), ('name', '9'), ('name', '1'), ('name', 'major_9'), ('future-date', '2025-01-01')) AS v(kind, what)")
 def future_id_leak(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = spark.createDataFrame([("C1", "2023-05-23", "see major_9, due 2025-01-01 and 2025-02-31")], "case_id string, simulation_date string, pre_play string")
     docs = spark.createDataFrame([("C1", "D1", "2023-05-23"), ("C1", "D2", "2023-05-24")], "case_id string, document_id string, document_date string")
     futures = spark.createDataFrame([("C1", "2023-06-01", "major_9"), ("C1", "2023-05-23", "periodic_1")], "case_id string, date string, source_document_id string")
-    found = grounding.leakage(cases, docs, futures).select("kind", "what")
-    return found.where("not (kind = 'name' and what = '1')")
+    return grounding.leakage(cases, docs, futures).select("kind", "what")
 
 
 @query("SELECT * FROM (VALUES ('E1', CAST(NULL AS VARCHAR)), ('E2', 'ref'), ('E3', 'grounding'), ('E4', 'numbers')) AS v(evidence_id, problem)")

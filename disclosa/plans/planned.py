@@ -11,17 +11,18 @@ from disclosa.plans.catalog import query, table
 from disclosa.plans.text import literal, out
 
 DOT = "list_sum(list_transform(range(1, 65), lambda i: e.embedding[i]::DOUBLE * q.embedding[i]::DOUBLE)) / (sqrt(list_sum(list_transform(e.embedding, lambda x: x::DOUBLE * x::DOUBLE))) * sqrt(list_sum(list_transform(q.embedding, lambda x: x::DOUBLE * x::DOUBLE))))"
-NEAR = f"n AS (SELECT q.vec_id AS query_id, e.vec_id, {DOT} AS score FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id < 5) q), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM n)"
+#: The query set: every vector whose id is divisible by 20, against all.
+TWENTIETH = "vec_id % 20 = 0"
+NEAR = f"n AS (SELECT q.vec_id AS query_id, e.vec_id, {DOT} AS score FROM embeddings e, (SELECT * FROM embeddings WHERE {TWENTIETH}) q), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM n)"
 
 
 def near(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
     e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return planned.nearest(e, e.where("vec_id < 5").withColumnRenamed("vec_id", "query_id"), k)
+    return planned.nearest(e, e.where(TWENTIETH).withColumnRenamed("vec_id", "query_id"), k)
 
 
 @query(f"WITH {NEAR} SELECT query_id, vec_id, round(score, 4) AS score, rank FROM r WHERE rank <= 10")
 def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five query vectors against all; a stated query set."""
     return near(spark, sf_dir, 10).select("query_id", "vec_id", F.round("score", 4).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -32,43 +33,13 @@ def rrf_fuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.fuse(a.unionByName(b)).select("query_id", "item", F.round("score", 6).alias("score"))
 
 
-@query(f"WITH {NEAR}, t AS (SELECT q.vec_id AS query_id, e.vec_id FROM embeddings e JOIN embeddings q ON q.vec_id < 5 AND e.label = q.label), h AS (SELECT t.query_id, count(r.rank)::DOUBLE / count(*) AS recall, coalesce(1.0::DOUBLE / min(r.rank), 0) AS rr FROM t LEFT JOIN r ON r.query_id = t.query_id AND r.vec_id = t.vec_id AND r.rank <= 10 GROUP BY 1) SELECT round(avg(recall), 4) AS recall_at_k, round(avg(rr), 4) AS mrr FROM h")
+@query(f"WITH {NEAR}, t AS (SELECT q.vec_id AS query_id, e.vec_id FROM embeddings e JOIN embeddings q ON q.{TWENTIETH} AND e.label = q.label), h AS (SELECT t.query_id, count(r.rank)::DOUBLE / count(*) AS recall, coalesce(1.0::DOUBLE / min(r.rank), 0) AS rr FROM t LEFT JOIN r ON r.query_id = t.query_id AND r.vec_id = t.vec_id AND r.rank <= 10 GROUP BY 1) SELECT round(avg(recall), 4) AS recall_at_k, round(avg(rr), 4) AS mrr FROM h")
 def recall_mrr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings")
-    q = e.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), "label")
-    truth = e.join(q, "label").select("query_id", F.col("vec_id").alias("item"))
-    return search.recall_and_rank(near(spark, sf_dir, 10).withColumnRenamed("vec_id", "item"), truth, 10).select(F.round("recall_at_k", 4).alias("recall_at_k"), F.round("mrr", 4).alias("mrr"))
-
-
-#: The whole query set: every vector whose id is divisible by 20, against all. The SQL of the queries above holds five.
-TWENTIETH = "vec_id % 20 = 0"
-NEAR_20TH = NEAR.replace("vec_id < 5", TWENTIETH)
-
-
-def near_20th(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return planned.nearest(e, e.where(TWENTIETH).withColumnRenamed("vec_id", "query_id"), k)
-
-
-@query(f"WITH {NEAR_20TH} SELECT query_id, vec_id, round(score, 4) AS score, rank FROM r WHERE rank <= 10")
-def cosine_topk_20th(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_20th(spark, sf_dir, 10).select("query_id", "vec_id", F.round("score", 4).alias("score"), F.col("rank").cast("long").alias("rank"))
-
-
-@query(f"WITH {NEAR_20TH}, m AS (SELECT query_id, vec_id AS item, rank FROM r WHERE rank <= 10 UNION ALL SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY vec_id) FROM r WHERE rank <= 10) SELECT query_id, item, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM m GROUP BY 1, 2")
-def rrf_fuse_20th(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = near_20th(spark, sf_dir, 10).select("query_id", F.col("vec_id").alias("item"), "rank")
-    b = a.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("item")))
-    return search.fuse(a.unionByName(b)).select("query_id", "item", F.round("score", 6).alias("score"))
-
-
-@query(f"WITH {NEAR_20TH}, t AS (SELECT q.vec_id AS query_id, e.vec_id FROM embeddings e JOIN embeddings q ON q.{TWENTIETH} AND e.label = q.label), h AS (SELECT t.query_id, count(r.rank)::DOUBLE / count(*) AS recall, coalesce(1.0::DOUBLE / min(r.rank), 0) AS rr FROM t LEFT JOIN r ON r.query_id = t.query_id AND r.vec_id = t.vec_id AND r.rank <= 10 GROUP BY 1) SELECT round(avg(recall), 4) AS recall_at_k, round(avg(rr), 4) AS mrr FROM h")
-def recall_mrr_20th(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A query's truth are all vectors of its label; they are counted by label, not listed by query."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", "label")
     sizes = e.groupBy("label").agg(F.count("*").alias("n"))
     q = e.where(TWENTIETH).withColumnRenamed("vec_id", "query_id").join(sizes, "label")
-    right = near_20th(spark, sf_dir, 10).select("query_id", "vec_id", "rank").join(e.withColumnRenamed("label", "_label"), "vec_id").join(q.select("query_id", "label"), "query_id").where("label = _label")
+    right = near(spark, sf_dir, 10).select("query_id", "vec_id", "rank").join(e.withColumnRenamed("label", "_label"), "vec_id").join(q.select("query_id", "label"), "query_id").where("label = _label")
     hits = right.groupBy("query_id").agg(F.count("*").alias("hits"), F.min("rank").alias("first"))
     each = q.join(hits, "query_id", "left").select((F.coalesce("hits", F.lit(0)) / F.col("n")).alias("recall"), F.coalesce(1 / F.col("first"), F.lit(0.0)).alias("rr"))
     return each.agg(F.round(F.avg("recall"), 4).alias("recall_at_k"), F.round(F.avg("rr"), 4).alias("mrr"))

@@ -157,12 +157,39 @@ def test_answer_lines_keep_a_line_from_another_chunk(spark):
     assert got == [("a", "cash one"), ("a", "cash two"), ("b", "cash three")]
 
 
-def test_allocation():
-    sizes = [((g, t), 10) for g in "abcd" for t in "xyz"]
-    got = corpus.allocation(sizes, 90)
-    assert sum(got.values()) == 90 and all(1 <= v <= 10 for v in got.values())
-    assert corpus.allocation([(("a", "x"), 2)], 90) == {("a", "x"): 2} and corpus.allocation([], 90) == {}
-    assert sum(corpus.allocation([((str(k), "x"), 1 + 100 * (k == 0)) for k in range(50)], 20).values()) == 50
+def plain_allocation(sizes, total):
+    """The rule of allocation(), a unit at a time."""
+    whole = sum(sizes.values())
+    share = {k: total * n / whole for k, n in sizes.items()}
+    got = {k: max(1, int(share[k])) for k in sorted(sizes)}
+    missing = min(total, whole) - sum(got.values())
+    by_rest = sorted(got, key=lambda k: (int(share[k]) - share[k], k))
+    while missing > 0:
+        for k in [k for k in by_rest if got[k] < sizes[k]][:missing]:
+            got[k] += 1
+            missing -= 1
+    while missing < 0 and max(got.values()) > 1:
+        got[min(k for k in got if got[k] == max(got.values()))] -= 1
+        missing += 1
+    return got
+
+
+def test_allocation(spark):
+    tables = [{(g, t): 10 for g in "abcd" for t in "xyz"}, {("a", "x"): 2}, {(f"{k:02d}", "x"): 1 + 100 * (k == 0) for k in range(50)}, {("a", "x"): 7, ("a", "y"): 1, ("b", "x"): 500, ("c", "z"): 33, ("d", "z"): 33}]
+    for total in (90, 20, 3):
+        for sizes in tables:
+            rows = spark.createDataFrame([(*k, n) for k, n in sizes.items()], "doc_group string, tier string, stratum_size long")
+            assert {(r.doc_group, r.tier): r.quota for r in corpus.allocation(rows, total).collect()} == plain_allocation(sizes, total)
+    assert corpus.allocation(rows.limit(0), 90).count() == 0
+
+
+def test_containing_finds_every_needle(spark):
+    texts = ["one two three four five six", "a  b\tc d e f", "x", "", None, "日本語テキスト", "tone two three four fives"]
+    needles = ["one two three four five", "e two three four fi", "b\tc d e f", "b", "", "本語", "nope", None, "four five", " two three four "]
+    t = spark.createDataFrame(list(enumerate(texts)), "t long, text string")
+    n = spark.createDataFrame(list(enumerate(needles)), "n long, needle string")
+    got = sorted(map(tuple, grounding.containing(t, n, "t", "n").collect()))
+    assert got == sorted((i, j) for i, a in enumerate(texts) for j, b in enumerate(needles) if a is not None and b is not None and b in a)
 
 
 def test_stratified_sample_does_not_depend_on_order(spark):
