@@ -45,6 +45,10 @@ def degrade(drafts: DataFrame, extracts: DataFrame) -> DataFrame:
     return drafts.join(extracts.withColumnRenamed("answer", "extract"), "answer_id", "left").select("answer_id", F.when(bad, F.col("extract")).otherwise(F.col("answer")).alias("answer"), bad.alias("degraded"))
 
 
+def _cut(n: int):  # noqa: ANN202
+    return lambda i: F.substring(F.col("text"), i, F.lit(n))
+
+
 def containing(texts: DataFrame, needles: DataFrame, text_id: str, needle_id: str) -> DataFrame:
     """text_id, needle_id of texts(text_id, text) that hold needles(needle_id, needle) whole.
 
@@ -64,8 +68,9 @@ def containing(texts: DataFrame, needles: DataFrame, text_id: str, needle_id: st
     keyed = texts.where("text is not null").select(text_id, F.explode(three).alias("key")).join(held.where("key is not null"), "key")
     short = held.where("key is null").select(needle_id, "needle", F.substring("needle", 1, 3).alias("key"))
     sizes = [r[0] for r in short.select(F.length("key")).distinct().collect()]  # four at most
+    starts = lambda n: F.sequence(F.lit(1), F.greatest(F.length("text") - n + 1, F.lit(1)))
     for n in sizes:
-        runs = F.array(F.lit("")) if not n else F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("text") - n + 1, F.lit(1))), lambda i, n=n: F.substring(F.col("text"), i, F.lit(n))))
+        runs = F.array(F.lit("")) if not n else F.array_distinct(F.transform(starts(n), _cut(n)))
         met = texts.where("text is not null").select(text_id, F.explode(runs).alias("key")).join(short.where(F.length("key") == n), "key")
         keyed = keyed.unionByName(met)
     whole = keyed.select(text_id, needle_id, "needle").join(texts.select(text_id, "text"), text_id)
