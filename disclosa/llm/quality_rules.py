@@ -1,7 +1,9 @@
 """Quality rules as a short-circuit cascade.
 
-Base measures are computed for every text. The further rules are tried in order of rejections per cost, both estimated
-on a sample; a row stops at the first rule that rejects it (CASE WHEN), and the verdict is the same in any order.
+Base measures are computed for every text, as they are part of the result. The further rules are tried in order of
+rejections per cost, both estimated on a sample: the cost of a rule is the work it does on a row (characters its patterns
+read, one for comparing measures), so the order is the same each time. A row stops at the first rule that rejects it
+(CASE WHEN), and the verdict is the same in any order.
 Main path: DataFrame functions only.
 
 Null and empty texts have no words and fail the base rule; repeated rows each get their verdict; an empty table gives
@@ -10,7 +12,6 @@ an empty result; further columns of the input are kept out of the way (measures(
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -23,7 +24,7 @@ from disclosa.llm.common import let, words
 WINDOW = 5
 #: Bits of a packed entry that hold a window's place; longer texts are compared as text.
 PLACE_BITS = 20
-#: Rows that the costs and selectivities are estimated on, at most.
+#: Rows that the costs and selectivities are estimated on, about.
 SAMPLE_ROWS = 2000
 
 
@@ -111,37 +112,30 @@ def measures(documents: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Rule:
-    """A rejecting condition over the columns of measures()."""
+    """A rejecting condition over the columns of measures(), and the characters that it reads of a row."""
 
     name: str
     rejects: Callable[[], Column]
+    reads: Callable[[], Column] = lambda: F.lit(0)
 
 
 #: Fixed thresholds; a rule rejects where its condition holds.
 RULES = (
     Rule("symbols", lambda: F.col("n_symbols") * 10 > F.col("n_words")),
     Rule("word_length", lambda: (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 14 * F.col("n_words"))),
-    Rule("dup_lines", lambda: F.col("n_dup_lines") * 3 > F.size(F.split("text", "\n"))),
-    Rule("shouting", lambda: F.length(F.regexp_replace("text", "[^A-Z]+", "")) * 2 > F.col("word_chars")),
-    Rule("exclaiming", lambda: F.length(F.regexp_replace("text", "[^!]+", "")) * 4 > F.col("n_words")),
+    Rule("dup_lines", lambda: F.col("n_dup_lines") * 3 > F.size(F.split("text", "\n")), lambda: F.length("text")),
+    Rule("shouting", lambda: F.length(F.regexp_replace("text", "[^A-Z]+", "")) * 2 > F.col("word_chars"), lambda: F.length("text")),
+    Rule("exclaiming", lambda: F.length(F.regexp_replace("text", "[^!]+", "")) * 4 > F.col("n_words"), lambda: F.length("text")),
 )
 
 
-def order_rules(measured: DataFrame, rows: int, rules: tuple[Rule, ...] = RULES, at_most: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by rejections per second over a sample of measured; rows: how many rows there are."""
-    if not rows:
-        return list(rules)
-    sample = measured.sample(min(1.0, at_most / rows), seed=7).persist()
-    try:
-        total = sample.count()
-        found = []
-        for k, rule in enumerate(rules):
-            began = time.monotonic()
-            rejected = sample.where(~F.col("base_failed") & rule.rejects()).count()
-            found.append((-(rejected + 0.5) / max(total, 1) / max(time.monotonic() - began, 1e-3), k))
-        return [rules[k] for _, k in sorted(found)]
-    finally:
-        sample.unpersist()
+def order_rules(measured: DataFrame, rules: tuple[Rule, ...] = RULES) -> list[Rule]:
+    """The rules by rejections per unit of work over a sample of measured; rows that the base rule rejects don't count."""
+    open_ = ~F.col("base_failed")
+    sums = [x for k, r in enumerate(rules) for x in (F.count_if(open_ & F.coalesce(r.rejects(), F.lit(False))).alias(f"hits_{k}"), F.sum(F.when(open_, r.reads() + 1)).alias(f"work_{k}"))]
+    found = measured.agg(*sums).first()
+    rate = {k: (found[f"hits_{k}"] + 0.5) / max(1, found[f"work_{k}"] or 0) for k in range(len(rules))}
+    return [rules[k] for k in sorted(rate, key=lambda k: (-rate[k], k))]
 
 
 def verdict(ordered: list[Rule]) -> Column:
@@ -156,6 +150,5 @@ def judge(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """measures() of every row with kept."""
     few = documents.select("doc_id", "text")
     rows = few.count()
-    fraction = min(1.0, 4 * SAMPLE_ROWS / max(rows, 1))
-    ordered = order_rules(measures(few.sample(fraction, seed=7)), min(rows, 4 * SAMPLE_ROWS), rules)
+    ordered = order_rules(measures(few.where(F.rand(7) < min(1.0, SAMPLE_ROWS / max(rows, 1)))), rules)
     return measures(few).withColumn("kept", verdict(ordered)).drop("text")

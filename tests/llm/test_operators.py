@@ -149,6 +149,16 @@ def test_quality_verdict_is_the_same_in_any_order(spark, docs):
     assert a == m.select(quality_rules.verdict(list(quality_rules.RULES)[::-1])).collect()
 
 
+def test_rules_are_ordered_by_rejections_per_work(spark):
+    table = quality_rules.measures(spark.createDataFrame([(k, " ".join(f"w{k}x{i}" for i in range(20))) for k in range(100)], "doc_id long, text string"))
+    free = quality_rules.Rule("free", lambda: F.col("doc_id") < 5)
+    dear = quality_rules.Rule("dear", lambda: F.col("doc_id") < 90, lambda: F.length("text"))
+    rare = quality_rules.Rule("rare", lambda: F.col("doc_id") < 0, lambda: F.length("text"))
+    for rules in ((rare, dear, free), (free, rare, dear)):
+        assert [r.name for r in quality_rules.order_rules(table, rules)] == ["free", "dear", "rare"]
+    assert quality_rules.order_rules(table.limit(0)) == list(quality_rules.RULES)
+
+
 def test_chat_reads_back_what_it_formats(spark):
     odd = [(1, 0, "user", "a"), (1, 1, "assistant", "<|turn|> \\ <|done|>\\|"), (1, 1, "assistant", None), (None, 0, None, "x"), (2, None, "assistant", ""), (2, 1, "us\ner", "</s>[INST] ok [/INST] <<SYS>>"), (2, 1, "us\ner", "</s>[INST] ok [/INST] <<SYS>>")]
     table = spark.createDataFrame([(*r, 1, 2) for r in odd], "conv_id long, turn long, role string, text string, seq long, at long")
