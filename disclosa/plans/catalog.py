@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("retrieval", "text", "documents", "corpus", "sessions", "planned")
+MODULES = ("retrieval", "text", "documents", "corpus", "sessions", "planned", "assembly")
 
 
 def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from disclosa.functions import grid, text
-from disclosa.operators import corpus, documents, grounding, search, sessions
+from disclosa.operators import assembly, cases, corpus, documents, grounding, search, sessions
 from disclosa.sources import corpus as sources
 from disclosa.sources import parser
 
@@ -251,3 +251,52 @@ def test_vectors_without_a_cosine_are_left_out(spark):
     vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [0.0, 0.0]), (4, None), (5, [1.0, None]), (6, [1.0]), (7, [float("nan"), 1.0])], "vec_id long, embedding array<double>")
     got = planned.nearest(vectors, vectors.withColumnRenamed("vec_id", "query_id"), 5).collect()
     assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == [(1, 1, 1), (1, 2, 2), (2, 1, 2), (2, 2, 1), (6, 1, 6)]
+
+
+def test_a_corpus_run_writes_documents_audits_failures_and_summary(spark, tmp_path):
+    from disclosa.plans.documents import sample_corpus
+
+    parsed, manifest = sample_corpus(spark)
+    got = assembly.run_corpus(parsed, manifest, str(tmp_path)).first()
+    failed = spark.read.json(f"{tmp_path}/failures").count() if got.n_failed else 0
+    assert got.n_documents + got.n_failed == 4 and failed == got.n_failed
+    assert sum(r.n for r in got.tiers) == got.n_documents and {r.code for r in got.warning_codes} >= {"sanitized_entity"}
+    held = {r.doc_id: r for r in spark.read.schema(assembly.schemas.DOCUMENT).json(f"{tmp_path}/documents").collect()}
+    assert held["D1"].doc_group == "periodic" and [n.order_index for n in held["D1"].nodes] == list(range(len(held["D1"].nodes)))
+    section, table = next(n for n in held["D1"].nodes if n.kind == "section"), next(n for n in held["D1"].nodes if n.kind == "table")
+    assert section.title_text == "I. 개요" and section.text is None and table.normalized_rows and table.text is None
+    assert held["D3"].source_files[0].content_format == "kind_html"
+
+
+def test_chunk_text_windows_and_sheet(spark):
+    one = spark.createDataFrame([("  T ", [["a ", " b"], ["c", ""]], [str(k) for k in range(10)])], "t string, r array<array<string>>, w array<string>")
+    assert one.select(assembly.chunk_text(F.col("t"), F.col("r"))).first()[0] == "T\na | b\nc | "
+    assert one.select(assembly.token_windows(F.col("w"), 4, 1)).first()[0] == [["0", "1", "2", "3"], ["3", "4", "5", "6"], ["6", "7", "8", "9"]]
+    assert one.select(assembly.token_windows(F.array().cast("array<string>"))).first()[0] == []
+    sheet = assembly.annotation_sheet(one.select("t"), ("label", "note"))
+    assert sheet.columns == ["\ufefft", "label", "note"] and sheet.first()[1:] == ("", "")
+
+
+def test_cases_show_only_what_is_visible_and_sound(spark):
+    c = spark.createDataFrame([("C1", "2023-05-23", "x")], "case_id string, simulation_date string, intro string")
+    d = spark.createDataFrame([("C1", "D1", "2023-05-23"), ("C1", "D2", "2023-05-24"), ("C1", "D0", "2023-05-23")], "case_id string, document_id string, document_date string")
+    assert sorted(r.document_id for r in cases.visible(d, c).collect()) == ["D0", "D1"] and cases.latest(d, c).first().document_id == "D1"
+    e = spark.createDataFrame([("C1", k, f"E{k}", "money", "a|b" if k else "x" * 95, "s\nt", "critical" if k == 1 else "minor") for k in range(5)], "case_id string, ordinal int, evidence_id string, category string, text string, source_text string, importance string")
+    f = spark.createDataFrame([("C1", "2023-06-02", 0, "b", "D9"), ("C1", "2023-06-01", 1, "a", "D8")], "case_id string, date string, ordinal int, title string, source_document_id string")
+    checks = cases.pack_checks(d, e, f, c)
+    assert checks.first().broken == ["documents", "future document"]
+    with pytest.raises(Exception, match="breaks"):
+        cases.assert_sound(checks).collect()
+    assert [x.title for x in cases.future_events(f).first().future_events] == ["a", "b"]
+    lines = cases.evidence_map(e).first().markdown.split("\n")
+    assert len(lines) == 7 and lines[2] == f"| E0 | money | {'x' * 90}… | s t |" and "a\\|b" in lines[3]
+    assert cases.briefing(c.withColumn("future_events", F.lit(1))).columns == c.columns
+    terms = spark.createDataFrame([("C1", "t1", ["E1", "E2"]), ("C1", "t2", ["E9"])], "case_id string, term string, source_evidence_ids array<string>")
+    found = spark.createDataFrame([("S", "C1", ["E2"])], "session_id string, case_id string, evidence_ids array<string>")
+    assert [tuple(r) for r in cases.unlocked(terms, found).collect()] == [("S", "t1", ["E2"])]
+    q = spark.createDataFrame([("Q1", "C1", "Why this risk?"), ("Q2", "C1", "hello")], "question_id string, case_id string, question string")
+    assert sorted((r.question_id, r.query) for r in cases.aspect_queries(q).collect())[:2] == [("Q1", "Why this risk?"), ("Q1", "Why this risk? risk 위험 리스크")]
+    a = spark.createDataFrame([("C1", 1, "x")], "case_id string, n int, s string")
+    assert [tuple(r) for r in cases.declared_differs(a, a.withColumn("n", F.lit(2)), "case_id").collect()] == [("C1", "n", "1", "2")]
+    turns = spark.createDataFrame([("S", 1, "hint", True), ("S", 2, "hint", False)], "session_id string, seq int, action string, accepted boolean")
+    assert tuple(cases.session_stats(turns).first()) == ("S", 2, 1, 1, 2, 1)
