@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Callable, Iterator
 
@@ -67,10 +68,11 @@ def fold(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
-def coded(rows: DataFrame, code: Callable[[str | None], np.ndarray], longest: int) -> tuple[list[np.ndarray], np.ndarray, list]:
-    """(hashes, labels, languages) of rows(doc_id, y, text, lang) on the driver, sorted by doc_id.
+def trained(rows: DataFrame, code: Callable[[str | None], np.ndarray], longest: int, learn: Callable[[list[np.ndarray], np.ndarray, list], object]) -> object:
+    """learn(hashes, labels, languages) of rows(doc_id, y, text, lang), sorted by doc_id, made by one task.
 
-    Texts of more than `longest` words are left out of the sample, so the driver holds at most that many hashes a row.
+    The rows are training_rows(), a bounded sample; texts of more than `longest` words are left out of it, so that task
+    holds at most so many hashes a row. Only the model, of fixed size, comes to the driver.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,10 +82,14 @@ def coded(rows: DataFrame, code: Callable[[str | None], np.ndarray], longest: in
             made = pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(got, pa.list_(pa.int64()))], names=["doc_id", "y", "lang", "codes"])
             yield made.filter(keep)
 
+    def fit(held: pa.Table) -> pa.Table:
+        held = held.sort_by([("doc_id", "ascending")])
+        codes = [np.asarray(x.values, dtype=np.int64) for x in held.column("codes")]
+        return pa.table({"model": pa.array([pickle.dumps(learn(codes, held.column("y").to_numpy().astype(np.float64), held.column("lang").to_pylist()))], pa.binary())})
+
     shaped = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "y", "lang", "text")
-    held = shaped.mapInArrow(run, "doc_id long, y int, lang string, codes array<long>").toArrow().sort_by([("doc_id", "ascending")])
-    codes = [np.asarray(x.values, dtype=np.int64) for x in held.column("codes")]
-    return codes, held.column("y").to_numpy().astype(np.float64), held.column("lang").to_pylist()
+    found = shaped.mapInArrow(run, "doc_id long, y int, lang string, codes array<long>").withColumn("one", F.lit(1)).groupBy("one").applyInArrow(fit, "model binary").collect()
+    return pickle.loads(found[0].model) if found else learn([], np.zeros(0), [])
 
 
 def scored(documents: DataFrame, columns: str, score: Callable[[list[str | None]], np.ndarray], extra: list[str]) -> DataFrame:

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from disclosa.llm.hashed import coded, coder, held_out, scored, training_rows
+from disclosa.llm.hashed import coder, held_out, scored, trained, training_rows
 
 BITS = 18
 #: The bounded sample: rows of either class, and words of a row, at most.
@@ -81,8 +81,7 @@ def train(texts: list[np.ndarray], y: np.ndarray, epochs: int = 4, seed: int = 5
 
 def fit(documents: DataFrame, labels: DataFrame) -> Model:
     rows = training_rows(documents, labels, "quality", (MODULUS, HELD), PER_CLASS)
-    texts, y, _ = coded(rows, words, LONGEST)
-    return train(texts, y)
+    return trained(rows, words, LONGEST, lambda texts, y, _: train(texts, y))
 
 
 def score_table(documents: DataFrame, model: Model) -> DataFrame:

@@ -34,7 +34,7 @@ SENT = 500_000
 #: Nodes of a key that are compared in one task's block, about.
 BLOCK = 1024
 #: Nodes of a key from which on a pair is compared only where it meets first in the order.
-MANY = 32
+MANY = 8
 
 
 def shingle_set(text: str) -> np.ndarray:
