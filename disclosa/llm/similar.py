@@ -110,9 +110,8 @@ def may_reach(size_a, size_b, pos_a, pos_b):  # noqa: ANN001, ANN201
     return (5 * size_a >= 4 * size_b) & (5 * size_b >= 4 * size_a) & (9 * a >= 4 * (size_a + size_b)) & (9 * b >= 4 * (size_a + size_b))
 
 
-def meets_first(key: int, mine: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """For each of others whether key is the first of mine that it holds."""
-    before = mine[: int(np.argmax(mine == key))]
+def meets_first(before: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """For each of others, the keys that a node holds before the one it is met on, whether none of them is in before."""
     if not len(before):
         return np.ones(len(others), dtype=bool)
     owner = np.repeat(np.arange(len(others)), [len(o) for o in others])
@@ -120,27 +119,27 @@ def meets_first(key: int, mine: np.ndarray, others: list[np.ndarray]) -> np.ndar
     return np.bincount(owner[hit], minlength=len(others)) == 0
 
 
-def apart(held: DataFrame, nodes: DataFrame) -> DataFrame:
+def apart(held: DataFrame) -> DataFrame:
     """a, b: nodes of held(key, node, size, pos, component) that meet on a key, in different components.
 
-    Nodes of a key that many have carry all their keys, so that a pair that meets on several comes up once, and only if
-    its first meeting leaves enough behind it.
+    Nodes of a key that many have carry the shared keys that they hold before it, so that a pair that meets on several
+    comes up once, and only if its first meeting leaves enough behind it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, row in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for many, row in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 node, size, pos, component = (row.values.field(k).to_numpy() for k in ("node", "size", "pos", "component"))
                 names, at, n = np.unique(component, return_inverse=True, return_counts=True)
                 if len(names) < 2:
                     continue
-                keys = [np.asarray(k.values) for k in row.values.field("keys")]
+                keys = [np.asarray(k.values) for k in row.values.field("keys")] if many else []
                 main = at == np.argmax(n)
                 # Pairs within the largest component are linked already; all others have an end outside it.
                 for x in np.flatnonzero(~main):
                     y = np.flatnonzero((at != at[x]) & (main | (np.arange(len(at)) > x)) & may_reach(size[x], size, pos[x], pos))
-                    if len(y) and len(keys[x]):
-                        y = y[meets_first(key, keys[x], [keys[k] for k in y])]
+                    if len(y) and many:
+                        y = y[meets_first(keys[x], [keys[k] for k in y])]
                     if len(y):
                         ends = np.full(len(y), node[x]), node[y]
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*ends)), pa.array(np.maximum(*ends))], names=["a", "b"])
@@ -148,13 +147,15 @@ def apart(held: DataFrame, nodes: DataFrame) -> DataFrame:
     sums = held.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     open_ = held.drop("n").join(sums.where("lo <> hi").select("key", "n"), "key")
     few = open_.where(F.col("n") <= MANY).withColumn("keys", F.array().cast("array<long>"))
-    many = open_.where(F.col("n") > MANY).join(nodes.select("node", "keys"), "node")
+    listed = held.groupBy("node").agg(F.collect_list(F.struct(F.col("pos").alias("p"), F.col("key").alias("k"))).alias("l"))
+    many = open_.where(F.col("n") > MANY).join(listed, "node")
+    many = many.withColumn("keys", F.transform(F.filter("l", lambda x: x["p"] < F.col("pos")), lambda x: x["k"])).drop("l")
     rows = few.unionByName(many).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # Block i meets every block j: a row goes to the pairs (i, j) with its own block as either.
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.struct("node", "size", "pos", "component", "keys").alias("row"))
-    lists = rows.groupBy("key", "i", "j").agg(F.collect_list("row").alias("rows")).where(F.size("rows") > 1)
-    return lists.select("key", "rows").mapInArrow(run, "a long, b long").distinct()
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("n") > MANY).alias("many"), F.struct("node", "size", "pos", "component", "keys").alias("row"))
+    lists = rows.groupBy("key", "i", "j", "many").agg(F.collect_list("row").alias("rows")).where(F.size("rows") > 1)
+    return lists.select("many", "rows").mapInArrow(run, "a long, b long").distinct()
 
 
 def similar(pairs: DataFrame, documents: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -210,7 +211,7 @@ def links(documents: DataFrame, held_prints: DataFrame) -> DataFrame:
         labels = components(found)
         discard(stars)
     left = held.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    pairs = materialise(apart(left, nodes), "apart")
+    pairs = materialise(apart(left), "apart")
     out = found.unionByName(similar(pairs, documents, nodes))
     discard(pairs, held, nodes)
     return out
