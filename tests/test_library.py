@@ -241,7 +241,7 @@ def test_every_twentieth_vector_is_a_query(spark, sf_dir, monkeypatch):
     v = {r.vec_id: np.array(r.embedding, dtype=float) for r in rows}
     cos = lambda a, b: float(a @ b / np.sqrt(a @ a) / np.sqrt(b @ b))
     want = {q: sorted((-round(cos(v[q], x), 9), k) for k, x in v.items())[:10] for q in v if q % 20 == 0}
-    got = catalog.queries()["cosine_topk_20th"](spark, sf_dir).collect()
+    got = catalog.queries()["cosine_topk"](spark, sf_dir).collect()
     assert len(want) > 5 and {(r.query_id, r["rank"]): r.vec_id for r in got} == {(q, n): k for q, top in want.items() for n, (_, k) in enumerate(top, 1)}
 
 
