@@ -33,8 +33,9 @@ ROUNDS, STARS = 1, 4
 SENT = 500_000
 #: Nodes of a key that are compared in one task's block, about.
 BLOCK = 1024
-#: Nodes of a key from which on a pair is compared only where it meets first in the order.
-MANY = 8
+#: Nodes of a key from which on a pair is compared only where it meets first in the order, as far as can be told from
+#: the places of KNOWN of each node's keys: a row stays small however long its text, and a pair may come up again.
+MANY, KNOWN = 8, 32
 
 
 def shingle_set(text: str) -> np.ndarray:
@@ -110,20 +111,21 @@ def may_reach(size_a, size_b, pos_a, pos_b):  # noqa: ANN001, ANN201
     return (5 * size_a >= 4 * size_b) & (5 * size_b >= 4 * size_a) & (9 * a >= 4 * (size_a + size_b)) & (9 * b >= 4 * (size_a + size_b))
 
 
-def meets_first(before: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """For each of others, the keys that a node holds before the one it is met on, whether none of them is in before."""
-    if not len(before):
-        return np.ones(len(others), dtype=bool)
-    owner = np.repeat(np.arange(len(others)), [len(o) for o in others])
-    hit = np.isin(np.concatenate(others), before)
-    return np.bincount(owner[hit], minlength=len(others)) == 0
+def met_before(keys: np.ndarray, places: np.ndarray, owner: np.ndarray, pos: np.ndarray, x: int, others: np.ndarray) -> np.ndarray:
+    """For each of others, whether it shares one of the known keys with x before the places on which the two meet.
+
+    keys, places and owner list the known keys of all nodes; pos has the place of the key they meet on.
+    """
+    early = places < pos[owner]
+    hit = early & np.isin(keys, keys[early & (owner == x)])
+    return np.bincount(owner[hit], minlength=len(pos))[others] > 0
 
 
-def apart(held: DataFrame) -> DataFrame:
+def apart(held: DataFrame, nodes: DataFrame) -> DataFrame:
     """a, b: nodes of held(key, node, size, pos, component) that meet on a key, in different components.
 
-    Nodes of a key that many have carry the shared keys that they hold before it, so that a pair that meets on several
-    comes up once, and only if its first meeting leaves enough behind it.
+    Nodes of a key that many have carry KNOWN of their keys with their places (the smallest, so that two nodes which
+    share many keys know some of the same): a pair that met on one of these before is left to that key.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,27 +135,31 @@ def apart(held: DataFrame) -> DataFrame:
                 names, at, n = np.unique(component, return_inverse=True, return_counts=True)
                 if len(names) < 2:
                     continue
-                keys = [np.asarray(k.values) for k in row.values.field("keys")] if many else []
+                if many:
+                    known = row.values.field("known")
+                    keys, places = (known.flatten().field(k).to_numpy() for k in ("k", "p"))
+                    owner = np.repeat(np.arange(len(node)), known.value_lengths().to_numpy())
                 main = at == np.argmax(n)
                 # Pairs within the largest component are linked already; all others have an end outside it.
                 for x in np.flatnonzero(~main):
                     y = np.flatnonzero((at != at[x]) & (main | (np.arange(len(at)) > x)) & may_reach(size[x], size, pos[x], pos))
                     if len(y) and many:
-                        y = y[meets_first(keys[x], [keys[k] for k in y])]
+                        y = y[~met_before(keys, places, owner, pos, x, y)]
                     if len(y):
                         ends = np.full(len(y), node[x]), node[y]
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*ends)), pa.array(np.maximum(*ends))], names=["a", "b"])
 
     sums = held.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     open_ = held.drop("n").join(sums.where("lo <> hi").select("key", "n"), "key")
-    few = open_.where(F.col("n") <= MANY).withColumn("keys", F.array().cast("array<long>"))
-    listed = held.groupBy("node").agg(F.collect_list(F.struct(F.col("pos").alias("p"), F.col("key").alias("k"))).alias("l"))
-    many = open_.where(F.col("n") > MANY).join(listed, "node")
-    many = many.withColumn("keys", F.transform(F.filter("l", lambda x: x["p"] < F.col("pos")), lambda x: x["k"])).drop("l")
+    none = F.array().cast("array<struct<k:long,p:int>>")
+    few = open_.where(F.col("n") <= MANY).withColumn("known", none)
+    places = F.transform("keys", lambda k, p: F.struct(k.alias("k"), p.alias("p")))
+    known = nodes.select("node", F.slice(F.sort_array(places), 1, KNOWN).alias("known"))
+    many = open_.where(F.col("n") > MANY).join(known, "node")
     rows = few.unionByName(many).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # Block i meets every block j: a row goes to the pairs (i, j) with its own block as either.
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("n") > MANY).alias("many"), F.struct("node", "size", "pos", "component", "keys").alias("row"))
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("n") > MANY).alias("many"), F.struct("node", "size", "pos", "component", "known").alias("row"))
     lists = rows.groupBy("key", "i", "j", "many").agg(F.collect_list("row").alias("rows")).where(F.size("rows") > 1)
     return lists.select("many", "rows").mapInArrow(run, "a long, b long").distinct()
 
@@ -211,7 +217,7 @@ def links(documents: DataFrame, held_prints: DataFrame) -> DataFrame:
         labels = components(found)
         discard(stars)
     left = held.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    pairs = materialise(apart(left), "apart")
+    pairs = materialise(apart(left, nodes), "apart")
     out = found.unionByName(similar(pairs, documents, nodes))
     discard(pairs, held, nodes)
     return out
