@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -57,6 +58,12 @@ def kept_by_worker(key: object, make: Callable[[], object]) -> object:
     return _kept[key]
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have executors delete the shuffle files of ended jobs now: Spark does so only when the driver collects its garbage."""
+    gc.collect()  # Python's references to the driver's objects
+    spark.sparkContext._jvm.System.gc()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a folder or file at path, in whatever file system it names."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -181,11 +181,12 @@ def same_texts(documents: DataFrame, prints: DataFrame) -> DataFrame:
 
 def grouped(documents: DataFrame, shingles: bool) -> tuple[DataFrame, DataFrame]:
     """(doc_id, fp of every row; fp, component, component_id of every fingerprint)."""
-    prints = materialise(similar.prints(documents, fingerprint) if shingles else fingerprints(documents), "prints")
+    whole = materialise(similar.prints(documents, fingerprint) if shingles else fingerprints(documents), "prints")
+    prints = materialise(whole.select("doc_id", "fp"), "fps") if shingles else whole
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = links(nodes.select("fp"))
     if shingles:
-        found = found.unionByName(same_texts(documents, prints))
+        found = found.unionByName(same_texts(documents, whole))  # whole, with keys and sketches, is deleted there
     labels = components(found).select(F.col("node").alias("fp"), "component")
     named = materialise(nodes.join(labels, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component")), "named")
     smallest = materialise(named.groupBy("component").agg(F.min("least").alias("component_id")), "smallest")

@@ -5,7 +5,8 @@ a shingle among the first n - ceil(0.8 n) + 1 of each, so nodes meet on an equal
 frequencies come from a sample of texts: they change what is compared, never what is found. In a few rounds the
 nodes of a key are compared with one of them only, first with the one that shares most keys (the text that others were
 copied from), then with drawn ones; after that only nodes of a key that are still in different components are compared,
-in blocks where a key has many. Every link is tested on the whole sets.
+in blocks where a key has many. Pairs that meet by chance go first by their sketches, one parity bit or two a shingle, whose
+differing bits are never more than the sets' differing shingles; every link is then tested on the whole sets.
 
 A text of five words or fewer is one shingle; texts without words are one node; words are those of the fingerprint.
 """
@@ -20,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from disclosa.llm.common import discard, materialise
+from disclosa.llm.common import discard, free_shuffles, materialise
 from disclosa.llm.components import components
 
 #: Words of a shingle, its seed. Two sets are similar if the shared shingles are 4/5 of all of theirs.
@@ -33,6 +34,8 @@ ROUNDS, STARS = 1, 4
 SENT = 500_000
 #: Nodes of a key that are compared in one task's block, about.
 BLOCK = 1024
+#: Bits of a sketch, at least and at most; a set of more shingles shares bits out among them.
+LEAST_BITS, MOST_BITS = 64, 1 << 16
 #: Nodes of a key from which on a pair is compared only where it meets first in the order, as far as can be told from
 #: the places of KNOWN of each node's keys: a row stays small however long its text, and a pair may come up again.
 MANY, KNOWN = 8, 32
@@ -53,6 +56,19 @@ def node_of(hashes: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64))
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """For each of b places how many hashes fall on it, modulo 2; b is the power of two from the set's size on, within its bounds."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << max(0, len(hashes) - 1).bit_length()))
+    return np.packbits(np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Differing bits of two sketches, the longer one folded to the other's places: at most the sets' differing shingles."""
+    x, y = (np.frombuffer(s, dtype=np.uint64) for s in (a, b))
+    n = min(len(x), len(y))
+    return int(np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, n)) ^ np.bitwise_xor.reduce(y.reshape(-1, n))).sum())
+
+
 def prefix(hashes: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The first n - ceil(0.8 n) + 1 of a set, by count, then by hash."""
     n = len(hashes)
@@ -82,7 +98,7 @@ def frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prints(documents: DataFrame, fingerprint) -> DataFrame:  # noqa: ANN001
-    """doc_id, fp, node, size, keys of every row: its fingerprint, its set, and the keys on which similar sets meet."""
+    """doc_id, fp, node, size, keys, sketch of every row: its fingerprint, its set, the keys on which similar sets meet, its sketch."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     order = documents.sparkSession.sparkContext.broadcast(frequencies(texts))
@@ -92,17 +108,18 @@ def prints(documents: DataFrame, fingerprint) -> DataFrame:  # noqa: ANN001
         for batch in batches:
             said = [t.as_py() or "" for t in batch.column(1)]
             fps = np.array([fingerprint(t) for t in said], dtype=np.uint64).view(np.int64)
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, keys, sketches = [], [], [], []
             for t in said:
                 h = shingle_set(t)
                 nodes.append(node_of(h))
                 sizes.append(len(h))
                 keys.append(prefix(h, known, counts).view(np.int64))
+                sketches.append(sketch(h))
             held = pa.array(keys, type=pa.list_(pa.int64()))
-            columns = [batch.column(0), pa.array(fps), pa.array(nodes, type=pa.int64()), pa.array(sizes, type=pa.int64()), held]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "node", "size", "keys"])
+            columns = [batch.column(0), pa.array(fps), pa.array(nodes, type=pa.int64()), pa.array(sizes, type=pa.int64()), held, pa.array(sketches, type=pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "node", "size", "keys", "sketch"])
 
-    return texts.mapInArrow(run, f"doc_id {kind}, fp long, node long, size long, keys array<long>")
+    return texts.mapInArrow(run, f"doc_id {kind}, fp long, node long, size long, keys array<long>, sketch binary")
 
 
 def may_reach(size_a, size_b, pos_a, pos_b):  # noqa: ANN001, ANN201
@@ -121,6 +138,24 @@ def met_before(keys: np.ndarray, places: np.ndarray, owner: np.ndarray, pos: np.
     return np.bincount(owner[hit], minlength=len(pos))[others] > 0
 
 
+def blocks(held: DataFrame) -> DataFrame:
+    """Rows of held(key, node, component, ...) whose key meets several components, with the groups i, j they are compared in.
+
+    n: nodes of the key; main: whether a row is of the key's largest component. Pairs of main rows are linked already, so
+    only the others meet them: block i of the others meets block j of the main ones (j >= 0; at 0 also itself), and block
+    -1 - j of the others. While the others of a key fit in one block, a main row comes once however many there are.
+    """
+    counts = held.groupBy("key", "component").agg(F.count("*").alias("c"))
+    sums = counts.groupBy("key").agg(F.sum("c").alias("n"), F.max(F.struct("c", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    rows = held.drop("n").join(sums.select("key", "n", "top"), "key").withColumn("main", F.col("component") == F.col("top.component"))
+    of_main, of_others = (F.ceil(n / BLOCK).cast("int") for n in (F.col("top.c"), F.col("n") - F.col("top.c")))
+    rows = rows.withColumns({"_m": of_main, "_o": of_others}).withColumn("_b", F.expr("cast(pmod(xxhash64(node), if(main, _m, _o)) as int)"))
+    groups = """if(main, transform(sequence(0, _o - 1), k -> struct(k as i, _b as j)), concat(
+        transform(sequence(0, _m - 1), k -> struct(_b as i, k as j)),
+        transform(filter(sequence(0, _o - 1), k -> k <> _b), k -> struct(least(_b, k) as i, -1 - greatest(_b, k) as j))))"""
+    return rows.withColumn("_g", F.explode(F.expr(groups))).select("*", "_g.i", "_g.j").drop("_g", "_m", "_o", "_b", "top")
+
+
 def apart(held: DataFrame, nodes: DataFrame) -> DataFrame:
     """a, b: nodes of held(key, node, size, pos, component) that meet on a key, in different components.
 
@@ -130,44 +165,52 @@ def apart(held: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for many, row in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                node, size, pos, component = (row.values.field(k).to_numpy() for k in ("node", "size", "pos", "component"))
-                names, at, n = np.unique(component, return_inverse=True, return_counts=True)
-                if len(names) < 2:
+            for j, many, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                node, size, pos, component, main = (row.values.field(k).to_numpy(zero_copy_only=False) for k in ("node", "size", "pos", "component", "main"))
+                if main.all():
                     continue
                 if many:
                     known = row.values.field("known")
                     keys, places = (known.flatten().field(k).to_numpy() for k in ("k", "p"))
                     owner = np.repeat(np.arange(len(node)), known.value_lengths().to_numpy())
-                main = at == np.argmax(n)
-                # Pairs within the largest component are linked already; all others have an end outside it.
+                among = j <= 0
                 for x in np.flatnonzero(~main):
-                    y = np.flatnonzero((at != at[x]) & (main | (np.arange(len(at)) > x)) & may_reach(size[x], size, pos[x], pos))
+                    y = np.flatnonzero((component != component[x]) & (main | (among & (np.arange(len(node)) > x))) & may_reach(size[x], size, pos[x], pos))
                     if len(y) and many:
                         y = y[~met_before(keys, places, owner, pos, x, y)]
                     if len(y):
                         ends = np.full(len(y), node[x]), node[y]
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*ends)), pa.array(np.maximum(*ends))], names=["a", "b"])
 
-    sums = held.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_ = held.drop("n").join(sums.where("lo <> hi").select("key", "n"), "key")
+    rows = blocks(held)
     none = F.array().cast("array<struct<k:long,p:int>>")
-    few = open_.where(F.col("n") <= MANY).withColumn("known", none)
+    few = rows.where(F.col("n") <= MANY).withColumn("known", none)
     places = F.transform("keys", lambda k, p: F.struct(k.alias("k"), p.alias("p")))
     known = nodes.select("node", F.slice(F.sort_array(places), 1, KNOWN).alias("known"))
-    many = open_.where(F.col("n") > MANY).join(known, "node")
-    rows = few.unionByName(many).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # Block i meets every block j: a row goes to the pairs (i, j) with its own block as either.
-    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("n") > MANY).alias("many"), F.struct("node", "size", "pos", "component", "known").alias("row"))
+    many = rows.where(F.col("n") > MANY).join(known, "node")
+    rows = few.unionByName(many).select("key", "i", "j", (F.col("n") > MANY).alias("many"), F.struct("node", "size", "pos", "component", "main", "known").alias("row"))
     lists = rows.groupBy("key", "i", "j", "many").agg(F.collect_list("row").alias("rows")).where(F.size("rows") > 1)
-    return lists.select("many", "rows").mapInArrow(run, "a long, b long").distinct()
+    return lists.select("j", "many", "rows").mapInArrow(run, "a long, b long").distinct()
+
+
+def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs(a, b) of nodes(node, size, sketch) whose sketches allow a Jaccard similarity of 0.8 or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total, one, two = batch.column(2).to_numpy(), batch.column(3), batch.column(4)
+            yield batch.select([0, 1]).filter(pa.array([9 * differing(x.as_py(), y.as_py()) <= n for n, x, y in zip(total, one, two, strict=True)], pa.bool_()))
+
+    one = nodes.select(F.col("node").alias("a"), F.col("size").alias("_n"), F.col("sketch").alias("_a"))
+    two = nodes.select(F.col("node").alias("b"), F.col("size").alias("_m"), F.col("sketch").alias("_b"))
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", (F.col("_n") + F.col("_m")).alias("_n"), "_a", "_b")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def similar(pairs: DataFrame, documents: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs(a, b) of nodes(node, least) whose whole sets have a Jaccard similarity of 0.8 or more.
+    """The pairs(a, b) of nodes(node, least, size, sketch) whose whole sets have a Jaccard similarity of 0.8 or more.
 
-    Sets are made anew from the texts of the pairs' ends: the texts of all others stay where they are.
+    Sets are made anew from the texts of the ends of likely pairs: the texts of all others stay where they are.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,6 +219,8 @@ def similar(pairs: DataFrame, documents: DataFrame, nodes: DataFrame) -> DataFra
             out = [pa.array([node_of(h) for h in found], type=pa.int64()), pa.array([h.view(np.int64) for h in found], type=pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(out, names=["node", "hashes"])
 
+    pairs = materialise(likely(pairs, nodes), "likely")
+    free_shuffles(documents.sparkSession)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = materialise(nodes.join(ends, "node", "left_semi").select(F.col("least").alias("_least")).distinct(), "wanted")
     few = wanted.schema["_least"].dataType.simpleString() in ("bigint", "int") and wanted.count() <= SENT
@@ -187,17 +232,24 @@ def similar(pairs: DataFrame, documents: DataFrame, nodes: DataFrame) -> DataFra
     shared = F.size(F.array_intersect("_a", "_b"))
     both = pairs.join(one, "a").join(two, "b")  # texts that share an id may give a node twice
     out = materialise(both.where(9 * shared >= 4 * (F.size("_a") + F.size("_b"))).select("a", "b").distinct(), "similar")
-    discard(wanted, sets)
+    discard(pairs, wanted, sets)
+    free_shuffles(documents.sparkSession)
     return out
 
 
 def links(documents: DataFrame, held_prints: DataFrame) -> DataFrame:
-    """a, b: nodes of prints that are similar, at least so many that the components are those of all similar pairs."""
-    nodes = held_prints.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("keys").alias("keys"))
+    """a, b: nodes of prints that are similar, at least so many that the components are those of all similar pairs.
+
+    held_prints is deleted as soon as its nodes are written.
+    """
+    nodes = held_prints.groupBy("node").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("size", "keys", "sketch")))
     nodes = materialise(nodes, "nodes")
+    discard(held_prints)
+    free_shuffles(documents.sparkSession)
     rows = nodes.select("node", "size", F.posexplode("keys").alias("pos", "key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     held = materialise(rows.join(shared, "key"), "held")
+    free_shuffles(documents.sparkSession)
     degrees = held.groupBy("node").agg(F.sum("n").alias("degree"))
     found, labels = None, None
     for k in range(ROUNDS):
@@ -212,12 +264,14 @@ def links(documents: DataFrame, held_prints: DataFrame) -> DataFrame:
         met = met.select("node", F.col("c.node").alias("other")).distinct()
         met = met.withColumn("_n", F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("node", "other")))).where(F.col("_n") <= STARS)
         stars = materialise(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "stars")
+        free_shuffles(documents.sparkSession)
         near = similar(stars, documents, nodes)
         found = near if found is None else found.unionByName(near)
         labels = components(found)
         discard(stars)
     left = held.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     pairs = materialise(apart(left, nodes), "apart")
+    free_shuffles(documents.sparkSession)
     out = found.unionByName(similar(pairs, documents, nodes))
     discard(pairs, held, nodes)
     return out

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from disclosa.llm import bpe, chat, components, covertree, hashed, mixing, pii, quality_model, quality_rules, secrets, simhash, toxicity
+from disclosa.llm import bpe, chat, components, covertree, hashed, mixing, pii, quality_model, quality_rules, secrets, simhash, similar, toxicity
 from disclosa.llm.common import digest
 
 #: Names that operators use inside, with nulls, to clash with.
@@ -280,6 +280,35 @@ def test_similar_texts_equal_brute_force(spark):
     assert len(narrow) > len(set(named.values()))
 
 
+def test_sketches_tell_chance_meetings_apart_and_lose_no_pair(spark):
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5, 63, 64, 65, 400, 1000):
+        for lost in (0, n // 12, n // 9, n // 5):
+            a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[lost:], rng.integers(0, 2**63, n // 10, dtype=np.uint64)]))
+            assert similar.differing(similar.sketch(a), similar.sketch(b)) <= len(np.setxor1d(a, b))
+    base = "a b c d e f g h "  # texts that share shingles, but few
+    texts = [base + " ".join(f"w{x}" for x in rng.integers(0, 10**6, 60)) for _ in range(20)]
+    texts.append(" ".join(texts[0].split()[:-1]))
+    nodes = similar.prints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), simhash.fingerprint).withColumnRenamed("doc_id", "least")
+    found = [r.node for r in nodes.orderBy("least").collect()]
+    pairs = spark.createDataFrame([(x, y) for x in found for y in found if x < y], "a long, b long")
+    assert {frozenset(r) for r in similar.likely(pairs, nodes).collect()} == {frozenset((found[0], found[20]))}
+
+
+@pytest.mark.parametrize("others", [3, 30])
+def test_blocks_meet_all_pairs_and_grow_with_their_rows(spark, monkeypatch, others):
+    monkeypatch.setattr(similar, "BLOCK", 8)
+    monkeypatch.setattr(similar, "MANY", 1000)
+    rows = [(5, k, 100, 0, 0 if k < 100 else k // 2) for k in range(100 + others)] + [(6, k, 100, 0, k) for k in range(9)] + [(7, k, 100, 0, 1) for k in range(9)]
+    held = spark.createDataFrame(rows, "key long, node long, size long, pos int, component long")
+    nodes = held.select("node", F.array().cast("array<long>").alias("keys")).distinct()
+    met = sorted(tuple(r) for r in similar.apart(held, nodes).collect())
+    assert met == sorted({(min(x[1], y[1]), max(x[1], y[1])) for x in rows for y in rows if x[0] == y[0] and x[4] != y[4]})
+    if others < 8:
+        assert similar.blocks(held).where("key = 5").count() == 100 + others * 13  # a main row comes once
+
+
 def test_one_row_of_each_group_stays_whatever_the_ids(spark, docs, none):
     same = "one two three four five six seven eight nine ten"
     rows = [(1, same), (1, same), (None, same), (2, same), (None, "a b c d e f"), (None, "a b c d e f"), (7, "p q r s t u"), (7, "v w x y z k l m"), (3, "v w x y z k l m"), (9, None), (8, "")]
