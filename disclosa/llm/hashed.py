@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Words whose hashes a Python worker keeps.
 KEPT = 150_000
+#: Bits of the map that tells which documents may be labelled.
+MAP_BITS = 1 << 24
 
 
 class Codes(dict):
@@ -37,27 +39,42 @@ def coder(pattern: str, lower: bool) -> Callable[[str | None], np.ndarray]:
     return run
 
 
-def training_rows(documents: DataFrame, labels: DataFrame, label: str, learn: tuple[int, int], per_class: int) -> DataFrame:
-    """doc_id, y, lang, text of at most per_class labelled documents of either class, in a keyed random order.
+def training_rows(documents: DataFrame, labels: DataFrame, label: str, learn: tuple[int, int], per_class: int | None) -> DataFrame:
+    """doc_id, y, lang, text of at most per_class labelled documents of either class, in a keyed random order; None: of all.
 
     learn: (modulus, remainder): rows whose crc32(doc_id as text) mod modulus equals the remainder are held out. Ids
     labelled both ways teach nothing and are left out; of rows with the same id the one with the smallest hash of its
-    text is taken, so the sample is at most 2 * per_class rows whatever repeats, and its ids may be broadcast.
+    text is taken, so the sample is at most 2 * per_class rows whatever repeats, and its ids may be broadcast; all rows are joined as Spark chooses.
     """
     modulus, remainder = learn
     usable = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull())
     usable = usable.where(fold(modulus) != remainder).groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("_y")).where("y = _y")
-    usable = usable.withColumn("_order", F.xxhash64("doc_id", F.lit(label)))
-    chosen = None
-    for y in (0, 1):
-        part = usable.where(F.col("y") == y).orderBy("_order", "doc_id").limit(per_class).select("doc_id", "y")
-        chosen = part if chosen is None else chosen.unionByName(part)
+    if per_class is None:
+        chosen = usable.select("doc_id", "y")
+    else:
+        usable = usable.withColumn("_order", F.xxhash64("doc_id", F.lit(label)))
+        parts = [usable.where(F.col("y") == y).orderBy("_order", "doc_id").limit(per_class).select("doc_id", "y") for y in (0, 1)]
+        chosen = F.broadcast(parts[0].unionByName(parts[1]))
     named = documents if "lang" in documents.columns else documents.withColumn("lang", F.lit(None).cast("string"))
-    held = named.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
+    held = named.select("doc_id", "text", "lang")
+    held = (held if per_class is not None else perhaps(held, chosen)).join(chosen, "doc_id")
     one = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "lang")).alias("one")
     return held.groupBy("doc_id", "y").agg(one).select("doc_id", "y", "one.lang", "one.text")
 
 
+def perhaps(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """rows without most of those whose doc_id is not in ids, before they are shuffled: by a bitmap of the ids' hashes.
+
+    The bitmap has at most MAP_BITS / 64 rows, so it may be broadcast; no row with an id of ids goes.
+    """
+    place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(MAP_BITS))
+    word = lambda p: F.shiftright(p, 6)
+    bit = lambda p: F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(F.lit(63)).cast("int"))
+    marks = ids.groupBy(word(place("doc_id")).alias("_word")).agg(F.bit_or(bit(place("doc_id"))).alias("_bits"))
+    at = rows.withColumn("_at", place("doc_id")).withColumn("_word", word(F.col("_at")))
+    return at.join(F.broadcast(marks), "_word").where(F.col("_bits").bitwiseAND(bit(F.col("_at"))) != 0).select(*rows.columns)
+
+
 def held_out(modulus: int, remainder: int) -> Column:
     """Whether a row belongs to the held-out fold; one without an id does not."""
     return F.coalesce(fold(modulus) == remainder, F.lit(False))

@@ -1,10 +1,11 @@
 """Toxicity by a convolutional text classifier over hashed word embeddings.
 
 A word has two places in one embedding table; filters of several widths slide over the words, the largest response of
-each filter feeds a logistic output. Training is plain numpy (Adam) on a bounded sample of labelled rows; words that
-training never saw keep a zero embedding and say nothing. Scores never see a language; a threshold for each language is
-calibrated on a part of the bounded sample that training does not see, and gives the further column flagged. A language
-with few rows there, and rows without one, share a threshold calibrated on all of that part.
+each filter feeds a logistic output. Training is plain numpy (Adam) on all labelled rows outside the fold: learners take
+equal shares of them, start a round from the same model, and their models are averaged, an embedding over the learners
+that met its words. Words that training never saw keep a zero embedding and say nothing. Scores never see a language; a
+threshold for each language is calibrated on one labelled row in CALIBRATE, all of which training leaves out, and gives
+the further column flagged. A language with few rows there, and rows without one, share a threshold calibrated on all of them.
 
 Null and empty texts get the score of a text without words; texts are scored whole; repeated rows get equal scores; an
 empty table gives an empty result; without labelled rows of both classes every score is 0; further columns are ignored.
@@ -14,21 +15,30 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from disclosa.llm.common import kept_by_worker
-from disclosa.llm.hashed import coder, held_out, scored, trained, training_rows
+from disclosa.llm.common import discard, free_shuffles, kept_by_worker, materialise
+from disclosa.llm.hashed import coder, held_out, scored, training_rows
 
 BITS, DIM, WIDTHS, FILTERS = 18, 8, (1, 2, 3), 6
-#: The bounded sample: rows of either class, and words of a row, at most.
-PER_CLASS, LONGEST = 3000, 6000
+#: Rows and words of a learner, about; one learner passes EPOCHS times over its rows, several once in each of ROUNDS.
+ROWS, WORDS, EPOCHS, ROUNDS = 8000, 8_000_000, 5, 3
+#: Words of a batch, about; of a longer text only the windows that won are held beside its hashes.
+BATCH_WORDS = 1 << 17
+#: Parts in which learners' tables are averaged.
+PARTS = 64
 MODULUS, HELD = 5, 0
-#: One in so many rows of the sample calibrates and does not train; rows of a language that get it a threshold of its own.
+#: One in so many labelled rows calibrates and does not train; rows of a language that get it a threshold of its own.
 CALIBRATE, FEW = 5, 40
+#: Calibration counts scores in so many steps; 0.02, 0.5 and 0.98 are steps.
+STEPS = 5000
 #: Share of a language's clean rows that its threshold may flag.
 FALSE_RATE = 0.005
 #: Words responded to at once; a longer text is taken in overlapping pieces.
@@ -50,6 +60,7 @@ class Model:
     out: np.ndarray
     out_bias: float
     thresholds: dict[str, float] = field(default_factory=dict)
+    squares: np.ndarray | None = None  # of the table's gradients; training only
 
     def project(self) -> list[np.ndarray]:
         """For each width and offset what a table row adds to the filters' responses."""
@@ -79,42 +90,68 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def train(texts: list[np.ndarray], y: np.ndarray, epochs: int = 5, batch: int = 64, rate: float = 0.02, seed: int = 5) -> Model:
-    """Adam on the logistic loss; only the windows that won the pooling get gradients. Classes count equally."""
+def untrained(seed: int = 5) -> Model:
     rng = np.random.default_rng(seed)
     n_out = FILTERS * len(WIDTHS)
-    model = Model(
+    return Model(
         np.zeros((1 << BITS, DIM)),
         [rng.normal(0, 0.5, (w, DIM, FILTERS)) for w in WIDTHS],
         np.full(n_out, 0.02),
         np.abs(rng.normal(0.5, 0.1, n_out)) * np.where(np.arange(n_out) % FILTERS < FILTERS * 2 // 3, 1, -1),
         0.0,
+        squares=np.zeros((1 << BITS, 1)),
     )
-    if not len(y) or y.min() == y.max():
-        model.out[:], model.out_bias = 0.0, -30.0
-        return model
-    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+
+
+def silent() -> Model:
+    """What is used where labels teach nothing: every score is 0."""
+    model = untrained()
+    model.out[:], model.out_bias, model.squares = 0.0, -30.0, None
+    return model
+
+
+def batches(order: np.ndarray, lengths: np.ndarray, batch: int) -> Iterator[np.ndarray]:
+    """order in pieces of at most `batch` rows and about BATCH_WORDS words; a longer text is a batch of its own."""
+    at = 0
+    while at < len(order):
+        n = int(np.searchsorted(np.cumsum(lengths[order[at : at + batch]]), BATCH_WORDS, side="right"))
+        yield order[at : at + max(1, n)]
+        at += max(1, n)
+
+
+def train(model: Model, texts: list[np.ndarray], y: np.ndarray, mean: float, epochs: int, batch: int = 64, rate: float = 0.02, seed: int = 5) -> Model:
+    """model after Adam on the logistic loss; only the windows that won the pooling get gradients. mean: share of label 1; classes count equally."""
+    rng = np.random.default_rng(seed)
+    n_out = FILTERS * len(WIDTHS)
+    weight = np.where(y == 1, 0.5 / mean, 0.5 / (1 - mean))
     dense = [*model.kernels, model.bias, model.out]
     m, v = [np.zeros_like(p) for p in dense], [np.zeros_like(p) for p in dense]
-    squares = np.zeros((1 << BITS, 1))
-    held, lengths = [places(t) for t in texts], np.array([len(t) for t in texts])
+    squares = model.squares
+    lengths = np.array([len(t) for t in texts])
     step = 0
     for _ in range(epochs):
         order = rng.permutation(len(y))
-        for k in range(0, len(order), batch):
-            rows = order[k : k + batch]
+        for rows in batches(order, lengths, batch):
             rows = rows[lengths[rows] > 0] if (lengths[rows] > 0).any() else rows[:0]
             if not len(rows):
                 continue
+            long = len(rows) == 1 and lengths[rows[0]] > BATCH_WORDS
+            if long:  # the words of each filter's winning window, one filter after the other
+                top, won = model.pooled(texts[rows[0]], model.project())
+                codes = texts[rows[0]][np.minimum(np.maximum(won, 0)[:, None] + np.arange(max(WIDTHS)), lengths[rows[0]] - 1)].ravel()
+            else:
+                codes = np.concatenate([texts[r] for r in rows])
             starts = np.cumsum(lengths[rows]) - lengths[rows]
-            used, where_used = np.unique(np.concatenate([np.concatenate([held[r][0] for r in rows]), np.concatenate([held[r][1] for r in rows])]), return_inverse=True)
+            used, where_used = np.unique(np.concatenate(places(codes)), return_inverse=True)
             a, b = where_used[: len(where_used) // 2], where_used[len(where_used) // 2 :]
             small = model.table[used]
             best, at = np.zeros((len(rows), n_out)), np.full((len(rows), n_out), -1)
+            if long:
+                best[0], at[0] = top, np.where(won >= 0, np.arange(n_out) * max(WIDTHS), -1)
             for w, width in enumerate(WIDTHS):
                 span = slice(w * FILTERS, (w + 1) * FILTERS)
                 n = len(a) - width + 1
-                if n <= 0:
+                if n <= 0 or long:
                     continue
                 r = sum((p := small @ model.kernels[w][j])[a[j : j + n]] + p[b[j : j + n]] for j in range(width))
                 for x, (s, size) in enumerate(zip(starts, lengths[rows], strict=True)):
@@ -146,47 +183,145 @@ def train(texts: list[np.ndarray], y: np.ndarray, epochs: int = 5, batch: int =
             squares[used] += (g_table**2).mean(axis=1, keepdims=True)
             model.table[used] -= rate * 5 * g_table / (np.sqrt(squares[used]) + 1e-6)
             model.out_bias -= rate * g_bias
-    model.table = model.table.astype(np.float32)
-    model.kernels = [k.astype(np.float32) for k in model.kernels]
     return model
 
 
-def threshold(scores: np.ndarray, y: np.ndarray) -> float:
+def parts(model: Model, before: np.ndarray, rows: int) -> list[bytes]:
+    """A learner's model in PARTS parts of its table, with what it met since `before`, and one of the rest."""
+    cut = lambda x: np.split(x.astype(np.float32), PARTS)
+    table = [pickle.dumps(x) for x in zip(cut(model.table), cut(model.squares), np.split(model.squares > before, PARTS), strict=True)]
+    return [*table, pickle.dumps((rows, [*model.kernels, model.bias, model.out, np.float64(model.out_bias)]))]
+
+
+def average(part: int, held: list[bytes]) -> bytes:
+    """One part of the learners' models, averaged: an embedding over the learners that met it, the rest by rows."""
+    got = [pickle.loads(x) for x in held]
+    if part == PARTS:
+        n = sum(rows for rows, _ in got)
+        return pickle.dumps([sum(x[k] * (rows / n) for rows, x in got) for k in range(len(got[0][1]))])
+    met = sum(m.astype(np.float32) for _, _, m in got)
+    out = [np.where(met > 0, sum(x[k] * x[2] for x in got) / np.maximum(met, 1), got[0][k]) for k in (0, 1)]
+    return pickle.dumps(out)
+
+
+def put_together(found: dict[int, bytes]) -> Model:
+    held = [pickle.loads(found[k]) for k in range(PARTS + 1)]
+    *kernels, bias, out, out_bias = held[-1]
+    table, squares = (np.concatenate([x[k] for x in held[:-1]]) for k in (0, 1))
+    return Model(table, kernels, bias, out, float(out_bias), squares=squares)
+
+
+def learned(rows: DataFrame, model: Model, mean: float, learners: int, epochs: int, turn: int) -> Model:
+    """model after `epochs` over rows(doc_id, y, codes): one learner for each share of them by hash, their models averaged.
+
+    Shares and their order depend on the ids alone. A learner holds the hashes of its own rows.
+    """
+    shipped = rows.sparkSession.sparkContext.broadcast(pickle.dumps(model))  # of fixed size
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        each = ((w, y, np.asarray(c.values, dtype=np.int64)) for x in found for w, y, c in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), x.column(2), strict=True))
+        for who, group in groupby(each, key=lambda x: x[0]):
+            _, y, texts = zip(*group, strict=True)
+            start = pickle.loads(shipped.value)
+            start.table, start.squares = start.table.astype(np.float64), start.squares.astype(np.float64)
+            before = start.squares.copy()
+            made = parts(train(start, list(texts), np.array(y, dtype=np.float64), mean, epochs, seed=5 + turn), before, len(y))
+            yield pa.RecordBatch.from_arrays([pa.array([who] * len(made), pa.int32()), pa.array(range(len(made)), pa.int32()), pa.array(made, pa.binary())], names=["who", "part", "model"])
+
+    def join(held: pa.Table) -> pa.Table:
+        held = held.sort_by("who")
+        part = held.column("part")[0].as_py()
+        return pa.table({"part": pa.array([part], pa.int32()), "model": pa.array([average(part, held.column("model").to_pylist())], pa.binary())})
+
+    shares = rows.select(F.pmod(F.xxhash64("doc_id", F.lit("learner")), F.lit(learners)).cast("int").alias("who"), "y", "codes", F.xxhash64("doc_id").alias("_order"), "doc_id")
+    dealt = shares.repartition(4 * learners, "who").sortWithinPartitions("who", "_order", "doc_id").select("who", "y", "codes")
+    found = dealt.mapInArrow(run, "who int, part int, model binary").groupBy("part").applyInArrow(join, "part int, model binary").collect()
+    shipped.unpersist()
+    return put_together({r.part: r.model for r in found})
+
+
+
+
+def threshold(scores: np.ndarray, y: np.ndarray, counts: np.ndarray | None = None) -> float:
     """Of the thresholds that flag at most FALSE_RATE of the clean rows the one with most right verdicts, nearest to 0.5 on ties."""
     if not len(y) or y.min() == y.max():
         return 0.5
+    counts = np.ones(len(y), dtype=np.int64) if counts is None else counts
     edges = np.unique(scores)
     options = np.unique(np.clip(np.concatenate([[0.5, 0.98], (edges[1:] + edges[:-1]) / 2]), 0.02, 0.98))
-    clean, toxic = np.sort(scores[y == 0]), np.sort(scores[y == 1])
-    false = len(clean) - np.searchsorted(clean, options)
-    right = len(clean) - false + len(toxic) - np.searchsorted(toxic, options)
-    right[false > max(1, FALSE_RATE * len(clean))] = -1
+    below, total = [], []
+    for label in (0, 1):
+        order = np.argsort(scores[y == label])
+        sums = np.concatenate([[0], np.cumsum(counts[y == label][order])])
+        below.append(sums[np.searchsorted(scores[y == label][order], options)])
+        total.append(sums[-1])
+    false = total[0] - below[0]
+    right = total[0] - false + total[1] - below[1]
+    right[false > max(1, FALSE_RATE * total[0])] = -1
     return float(min(options[right == right.max()], key=lambda t: abs(t - 0.5)))
 
 
-def calibrate(scores: np.ndarray, y: np.ndarray, langs: list) -> dict[str, float]:
-    """A threshold for each language with FEW rows or more and both classes; "" has that of all rows."""
-    out = {"": threshold(scores, y)}
+def calibrate(scores: np.ndarray, y: np.ndarray, langs: list, counts: np.ndarray | None = None) -> dict[str, float]:
+    """A threshold for each language with FEW rows or more and both classes; "" has that of all rows. counts: rows of each entry, 1 if not given."""
+    counts = np.ones(len(y), dtype=np.int64) if counts is None else counts
+    out = {"": threshold(scores, y, counts)}
+    of = np.array([x or "" for x in langs], dtype=object)
     for lang in sorted({x for x in langs if x}):
-        at = np.array([x == lang for x in langs])
-        if at.sum() >= FEW and len(np.unique(y[at])) == 2:
-            out[lang] = threshold(scores[at], y[at])
+        at = of == lang
+        if counts[at].sum() >= FEW and len(np.unique(y[at])) == 2:
+            out[lang] = threshold(scores[at], y[at], counts[at])
     return out
 
 
-def learn(texts: list[np.ndarray], y: np.ndarray, langs: list) -> Model:
-    """Trains on all rows but one in CALIBRATE; these give the thresholds."""
-    apart = np.arange(len(y)) % CALIBRATE == CALIBRATE - 1
-    model = train([t for t, x in zip(texts, apart, strict=True) if not x], y[~apart])
-    projected = model.project()
-    seen = np.flatnonzero(apart)
-    model.thresholds = calibrate(np.array([model.score(texts[k], projected) for k in seen]), y[seen], [langs[k] for k in seen])
-    return model
+def coded_rows(rows: DataFrame) -> DataFrame:
+    """doc_id, y, lang, codes (the bits of a word's hash that places() reads), apart (whether it calibrates) of rows(doc_id, y, lang, text)."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    bits = (1 << 2 * BITS) - 1
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            codes = pa.array([words(t.as_py()) & bits for t in batch.column(3)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], codes], names=["doc_id", "y", "lang", "codes"])
+
+    made = rows.select("doc_id", "y", F.col("lang").cast("string").alias("lang"), "text").mapInArrow(run, f"doc_id {kind}, y int, lang string, codes array<long>")
+    return made.withColumn("apart", F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(CALIBRATE)) == 0)
+
+
+def counted_scores(rows: DataFrame, model: Model) -> DataFrame:
+    """lang, y, step, n: rows(y, lang, codes) of each step of the score."""
+    shipped = rows.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pickle.loads(shipped.value)
+        projected = held.project()
+        for batch in found:
+            score = np.array([held.score(np.asarray(c.values, dtype=np.int64), projected) for c in batch.column(2)], dtype=np.float64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((score * STEPS).astype(np.int32))], names=["lang", "y", "step"])
+
+    return rows.select("lang", "y", "codes").mapInArrow(run, "lang string, y int, step int").groupBy("lang", "y", "step").agg(F.count("*").alias("n"))
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> Model:
-    """Learns on the bounded sample of labelled rows outside the held-out fold."""
-    return trained(training_rows(documents, labels, "toxic", (MODULUS, HELD), PER_CLASS), words, LONGEST, learn)
+    """Learns on all labelled rows outside the held-out fold: those set apart give the thresholds, the others train."""
+    spark = documents.sparkSession
+    coded = materialise(coded_rows(training_rows(documents, labels, "toxic", (MODULUS, HELD), None)), "coded")
+    free_shuffles(spark)
+    train_on = coded.where("not apart")
+    n, toxic, said = train_on.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0)), F.coalesce(F.sum(F.size("codes")), F.lit(0))).first()
+    if not 0 < toxic < n:
+        discard(coded)
+        return silent()
+    learners = max(1, -(-n // ROWS), -(-said // WORDS))
+    model = untrained()
+    for turn in range(1 if learners == 1 else ROUNDS):
+        model = learned(train_on, model, toxic / n, learners, EPOCHS if learners == 1 else 1, turn)
+        free_shuffles(spark)
+    model.table, model.kernels, model.squares = model.table.astype(np.float32), [k.astype(np.float32) for k in model.kernels], None
+    found = counted_scores(coded.where("apart"), model).orderBy("lang", "y", "step").toArrow()
+    steps, y, n = (found.column(c).to_numpy() for c in ("step", "y", "n"))
+    model.thresholds = calibrate((steps + 0.5) / STEPS, y, found.column("lang").to_pylist(), n)
+    discard(coded)
+    return model
 
 
 def bound(model: Model) -> Column:

@@ -588,6 +588,41 @@ def test_toxicity_learns_and_ignores_labels_of_its_fold(spark, docs, none):
     assert toxicity.score_table(docs, toxicity.fit(docs, labels.limit(0))).where("predicted = 1").count() == 0
 
 
+def test_the_map_of_labelled_ids_loses_none(spark, monkeypatch):
+    rows = spark.createDataFrame([(k * 7919 - 40000, f"t{k}") for k in range(2000)] + [(None, "x")], "doc_id long, text string")
+    ids = rows.where("doc_id % 10 = 0").select("doc_id")
+    for bits in (1 << 24, 64, 640):
+        monkeypatch.setattr(hashed, "MAP_BITS", bits)
+        got = [r.doc_id for r in hashed.perhaps(rows, ids).collect()]
+        assert len(got) == len(set(got)) and {r.doc_id for r in ids.collect()} <= set(got) and (bits < 1000 or len(got) < 220)
+
+
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [" ".join([*(f"w{x}" for x in rng.integers(0, 300, 6200 if k % 3 == 0 else 20)), *["vileword"] * (k % 3 == 0)]) for k in range(120)]
+    d = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(120)], "doc_id long, toxic int")
+    model = toxicity.fit(d, labels)  # every toxic text has more than 6,000 words
+    got = {r.doc_id: r.predicted for r in toxicity.score_table(d, model).where("held_out").collect()}
+    assert np.mean([got[k] == (k % 3 == 0) for k in got]) > 0.9
+    d, labels = labelled(spark)
+    monkeypatch.setattr(toxicity, "ROWS", 80)  # four learners or so
+    monkeypatch.setattr(toxicity, "ROUNDS", 6)
+    model, again = toxicity.fit(d, labels), toxicity.fit(d.orderBy(F.desc("doc_id")).repartition(3), labels.orderBy(F.desc("doc_id")))
+    assert all((a == b).all() for a, b in zip([model.table, *model.kernels], [again.table, *again.kernels], strict=True)) and model.thresholds == again.thresholds
+    got = toxicity.score_table(d, model).join(labels, "doc_id").where("held_out").collect()
+    assert np.mean([r.predicted == r.toxic for r in got]) > 0.9
+
+
+def test_long_texts_train_as_they_would_in_one_piece(monkeypatch):
+    rng = np.random.default_rng(6)
+    texts, y = [rng.integers(0, 2**36, 300) for _ in range(8)], np.array([0.0, 1.0] * 4)
+    whole = toxicity.train(toxicity.untrained(), texts, y, 0.5, 2, batch=1)
+    monkeypatch.setattr(toxicity, "BATCH_WORDS", 100)
+    cut = toxicity.train(toxicity.untrained(), texts, y, 0.5, 2, batch=1)
+    assert np.allclose(whole.table, cut.table) and np.allclose(whole.out, cut.out)
+
+
 def test_thresholds_follow_the_languages():
     rng = np.random.default_rng(0)
     y = np.tile([0, 0, 0, 1], 100)
