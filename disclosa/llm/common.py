@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The white space that separates words, as a Java and RE2 class.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
+#: Bytes of the texts that a Python worker turns into strings, hashes and sets at once, about; a longer text is a piece by itself.
+PIECE_BYTES = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -58,6 +64,36 @@ def kept_by_worker(key: object, make: Callable[[], object]) -> object:
     return _kept[key]
 
 
+def pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """All rows of batches in order, in pieces of about PIECE_BYTES of the texts in column."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            upto = int(np.searchsorted(ends, PIECE_BYTES + (ends[at - 1] if at else 0), side="right"))
+            yield batch.slice(at, max(1, upto - at))
+            at += max(1, upto - at)
+
+
+def give_back() -> None:
+    """Return the memory that Arrow and the C library hold free: a worker outlives its tasks and else keeps the most it ever took."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keep: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, which lets go of what another operator kept in the worker (not so with keep) and gives free memory back at its end."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keep:
+            _kept.clear()
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Have executors delete the shuffle files of ended jobs now: Spark does so only when the driver collects its garbage."""
     gc.collect()  # Python's references to the driver's objects

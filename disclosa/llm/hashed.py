@@ -12,6 +12,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from disclosa.llm.common import pieces, thrifty
+
 #: Words whose hashes a Python worker keeps.
 KEPT = 150_000
 #: Bits of the map that tells which documents may be labelled.
@@ -110,14 +112,14 @@ def trained(rows: DataFrame, code: Callable[[str | None], np.ndarray], longest:
 
 
 def scored(documents: DataFrame, columns: str, score: Callable[[list[str | None]], np.ndarray], extra: list[str]) -> DataFrame:
-    """documents' doc_id and extra columns with a score of every whole text, a batch of texts at a time."""
+    """documents' doc_id and extra columns with a score of every whole text, a piece of a batch at a time."""
     kinds = {f.name: f.dataType.simpleString() for f in documents.schema}
     keep = ["doc_id", *extra]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, len(keep)):
             got = score([t.as_py() for t in batch.column(len(keep))])
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(got, pa.float64())], names=[*keep, columns])
 
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"{columns} double"])
-    return documents.select(*keep, F.col("text").cast("string").alias("_scored")).mapInArrow(run, schema)
+    return documents.select(*keep, F.col("text").cast("string").alias("_scored")).mapInArrow(thrifty(run, keep=True), schema)

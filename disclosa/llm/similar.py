@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from disclosa.llm.common import discard, free_shuffles, materialise
+from disclosa.llm.common import discard, free_shuffles, materialise, pieces, thrifty
 from disclosa.llm.components import components
 
 #: Words of a shingle, its seed. Two sets are similar if the shared shingles are 4/5 of all of theirs.
@@ -85,13 +85,13 @@ def frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that stand in two texts of the sample or more, sorted, and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 0):
             found = [shingle_set(t.as_py() or "") for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, dtype=np.uint64), *found]).view(np.int64))], names=["h"])
 
     every = max(1, texts.count() // SAMPLE)
     sample = texts.select("text").where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
-    often = sample.mapInArrow(run, "h long").groupBy("h").count().where("count > 1").orderBy(F.desc("count"), "h").limit(HELD).toArrow()
+    often = sample.mapInArrow(thrifty(run), "h long").groupBy("h").count().where("count > 1").orderBy(F.desc("count"), "h").limit(HELD).toArrow()
     known = often.column("h").to_numpy().view(np.uint64)
     order = np.argsort(known)
     return known[order], often.column("count").to_numpy()[order]
@@ -105,7 +105,7 @@ def prints(documents: DataFrame, fingerprint) -> DataFrame:  # noqa: ANN001
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = order.value
-        for batch in batches:
+        for batch in pieces(batches, 1):
             said = [t.as_py() or "" for t in batch.column(1)]
             fps = np.array([fingerprint(t) for t in said], dtype=np.uint64).view(np.int64)
             nodes, sizes, keys, sketches = [], [], [], []
@@ -119,7 +119,7 @@ def prints(documents: DataFrame, fingerprint) -> DataFrame:  # noqa: ANN001
             columns = [batch.column(0), pa.array(fps), pa.array(nodes, type=pa.int64()), pa.array(sizes, type=pa.int64()), held, pa.array(sketches, type=pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "node", "size", "keys", "sketch"])
 
-    return texts.mapInArrow(run, f"doc_id {kind}, fp long, node long, size long, keys array<long>, sketch binary")
+    return texts.mapInArrow(thrifty(run), f"doc_id {kind}, fp long, node long, size long, keys array<long>, sketch binary")
 
 
 def may_reach(size_a, size_b, pos_a, pos_b):  # noqa: ANN001, ANN201
@@ -190,7 +190,7 @@ def apart(held: DataFrame, nodes: DataFrame) -> DataFrame:
     many = rows.where(F.col("n") > MANY).join(known, "node")
     rows = few.unionByName(many).select("key", "i", "j", (F.col("n") > MANY).alias("many"), F.struct("node", "size", "pos", "component", "main", "known").alias("row"))
     lists = rows.groupBy("key", "i", "j", "many").agg(F.collect_list("row").alias("rows")).where(F.size("rows") > 1)
-    return lists.select("j", "many", "rows").mapInArrow(run, "a long, b long").distinct()
+    return lists.select("j", "many", "rows").mapInArrow(thrifty(run), "a long, b long").distinct()
 
 
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     one = nodes.select(F.col("node").alias("a"), F.col("size").alias("_n"), F.col("sketch").alias("_a"))
     two = nodes.select(F.col("node").alias("b"), F.col("size").alias("_m"), F.col("sketch").alias("_b"))
     both = pairs.join(one, "a").join(two, "b").select("a", "b", (F.col("_n") + F.col("_m")).alias("_n"), "_a", "_b")
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(thrifty(run), "a long, b long")
 
 
 def similar(pairs: DataFrame, documents: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -214,7 +214,7 @@ def similar(pairs: DataFrame, documents: DataFrame, nodes: DataFrame) -> DataFra
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 0):
             found = [shingle_set(t.as_py() or "") for t in batch.column(0)]
             out = [pa.array([node_of(h) for h in found], type=pa.int64()), pa.array([h.view(np.int64) for h in found], type=pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(out, names=["node", "hashes"])
@@ -226,7 +226,7 @@ def similar(pairs: DataFrame, documents: DataFrame, nodes: DataFrame) -> DataFra
     few = wanted.schema["_least"].dataType.simpleString() in ("bigint", "int") and wanted.count() <= SENT
     texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     texts = texts.join(F.broadcast(wanted) if few else wanted, texts["doc_id"].eqNullSafe(wanted["_least"]), "left_semi").select("text")
-    sets = materialise(texts.mapInArrow(run, "node long, hashes array<long>"), "sets")
+    sets = materialise(texts.mapInArrow(thrifty(run), "node long, hashes array<long>"), "sets")
     one = sets.select(F.col("node").alias("a"), F.col("hashes").alias("_a"))
     two = sets.select(F.col("node").alias("b"), F.col("hashes").alias("_b"))
     shared = F.size(F.array_intersect("_a", "_b"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from disclosa.llm.common import discard, free_shuffles, kept_by_worker, materialise
+from disclosa.llm.common import discard, free_shuffles, kept_by_worker, materialise, pieces, thrifty
 from disclosa.llm.hashed import coder, held_out, scored, training_rows
 
 BITS, DIM, WIDTHS, FILTERS = 18, 8, (1, 2, 3), 6
@@ -235,7 +235,7 @@ def learned(rows: DataFrame, model: Model, mean: float, learners: int, epochs: i
 
     shares = rows.select(F.pmod(F.xxhash64("doc_id", F.lit("learner")), F.lit(learners)).cast("int").alias("who"), "y", "codes", F.xxhash64("doc_id").alias("_order"), "doc_id")
     dealt = shares.repartition(4 * learners, "who").sortWithinPartitions("who", "_order", "doc_id").select("who", "y", "codes")
-    found = dealt.mapInArrow(run, "who int, part int, model binary").groupBy("part").applyInArrow(join, "part int, model binary").collect()
+    found = dealt.mapInArrow(thrifty(run), "who int, part int, model binary").groupBy("part").applyInArrow(join, "part int, model binary").collect()
     shipped.unpersist()
     return put_together({r.part: r.model for r in found})
 
@@ -279,11 +279,11 @@ def coded_rows(rows: DataFrame) -> DataFrame:
     bits = (1 << 2 * BITS) - 1
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
+        for batch in pieces(found, 3):
             codes = pa.array([words(t.as_py()) & bits for t in batch.column(3)], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], codes], names=["doc_id", "y", "lang", "codes"])
 
-    made = rows.select("doc_id", "y", F.col("lang").cast("string").alias("lang"), "text").mapInArrow(run, f"doc_id {kind}, y int, lang string, codes array<long>")
+    made = rows.select("doc_id", "y", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(thrifty(run), f"doc_id {kind}, y int, lang string, codes array<long>")
     return made.withColumn("apart", F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(CALIBRATE)) == 0)
 
 
@@ -298,7 +298,7 @@ def counted_scores(rows: DataFrame, model: Model) -> DataFrame:
             score = np.array([held.score(np.asarray(c.values, dtype=np.int64), projected) for c in batch.column(2)], dtype=np.float64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((score * STEPS).astype(np.int32))], names=["lang", "y", "step"])
 
-    return rows.select("lang", "y", "codes").mapInArrow(run, "lang string, y int, step int").groupBy("lang", "y", "step").agg(F.count("*").alias("n"))
+    return rows.select("lang", "y", "codes").mapInArrow(thrifty(run), "lang string, y int, step int").groupBy("lang", "y", "step").agg(F.count("*").alias("n"))
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> Model:

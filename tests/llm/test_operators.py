@@ -4,11 +4,12 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from disclosa.llm import bpe, chat, components, covertree, hashed, mixing, pii, quality_model, quality_rules, secrets, simhash, similar, toxicity
+from disclosa.llm import bpe, chat, common, components, covertree, hashed, mixing, pii, quality_model, quality_rules, secrets, simhash, similar, toxicity
 from disclosa.llm.common import digest
 
 #: Names that operators use inside, with nulls, to clash with.
@@ -693,5 +694,19 @@ def test_long_texts_pool_over_all_pieces(monkeypatch):
     assert np.allclose(whole, model.pooled(codes, model.project())[0])
 
 
+def test_a_worker_holds_a_piece_of_its_texts_and_lets_go(spark, monkeypatch):
+    texts = ["a" * 600_000, None, "", "é" * 300_000, "b" * 3_000_000, *["c" * 1000] * 3000]
+    held = [pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts}), pa.RecordBatch.from_pydict({"id": [-1], "text": pa.array([None], pa.string())})]
+    got = list(common.pieces(iter(held), 1))
+    assert [x for p in got for x in p.column(0).to_pylist()] == [*range(len(texts)), -1]
+    assert all(p.num_rows == 1 or sum(len((x or "").encode()) for x in p.column(1).to_pylist()) <= common.PIECE_BYTES for p in got) and len(got) <= 8
+    monkeypatch.setattr(common, "_kept", {"other": 1})
+    assert list(common.thrifty(iter, keep=True)(iter(held))) == held and common._kept
+    assert list(common.thrifty(iter)(iter(held))) == held and not common._kept
+    table = spark.createDataFrame([(k, "x" * 2000) for k in range(3000)], "doc_id long, text string").coalesce(1)
+    most = hashed.scored(table, "rows", lambda some: np.full(len(some), len(some)), []).agg(F.max("rows")).first()[0]
+    assert most <= common.PIECE_BYTES // 2000  # was a whole batch of 3,000 rows
+
+
 def test_digest_of_nothing(spark):
     assert spark.range(1).select(digest(F.lit(""))).first()[0] == hashlib.sha256(b"").hexdigest()
