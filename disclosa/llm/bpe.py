@@ -16,8 +16,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections.abc import Callable, Iterator
-from itertools import chain
+import re
+from collections.abc import Callable, Iterable, Iterator
+from functools import cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from disclosa.llm.common import kept_by_worker
+from disclosa.llm.common import kept_by_worker, thrifty
 
 #: Fixed value: the published pattern that cuts a text into words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -45,6 +47,35 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+@cache
+def cutters() -> tuple[Callable[[str], list[str]], Callable[[str], list[str]]]:
+    """PATTERN's findall for any text, and a faster one for texts whose characters are all below 2^16.
+
+    That one lists the characters which the first takes for letters, numbers and white space, and tries the most usual
+    words first; as no two of its parts but the last begin alike, the order changes nothing.
+    """
+    low = "".join(map(chr, range(1 << 16)))
+
+    def members(of: str) -> str:
+        ends: list[list[int]] = []
+        for c in map(ord, regex.findall(of, low)):
+            if ends and ends[-1][1] == c - 1:
+                ends[-1][1] = c
+            else:
+                ends.append([c, c])
+        return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ends)
+
+    letter, number, space = map(members, (r"\p{L}", r"\p{N}", r"\s"))
+    short = rf" ?[{letter}]+| ?[{number}]+|'(?:[stmd]|re|ve|ll)| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
+    return regex.compile(PATTERN).findall, re.compile(short).findall
+
+
+def cut(text: str) -> list[str]:
+    """The words of a text."""
+    every, low = cutters()
+    return low(text) if text.isascii() or len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text) else every(text)
+
+
 class Probe:
     """A table from non-negative 62-bit keys to values, looked up a whole array at a time; -1 where there is none."""
 
@@ -232,31 +263,32 @@ class Merger:
         order = np.argsort(owner, kind="stable")
         return flat[order].astype(np.int64), owner[order]
 
-    def exact_many(self, words: list[bytes]) -> list[list[int]]:
-        """exact() of words of SHORT bytes at most: each round merges the best pair of every word that has one."""
-        out: list[list[int]] = [[]] * len(words)
-        order = sorted(range(len(words)), key=lambda k: len(words[k]))
-        for k in range(0, len(order), 4096):
-            part = [j for j in order[k : k + 4096] if words[j]]
-            if not part:
-                continue
-            sizes = np.array([len(words[j]) for j in part])
-            ids = np.full((len(part), sizes.max() + 1), -1, dtype=np.int32)
-            ids[np.arange(ids.shape[1]) < sizes[:, None]] = self.byte_id[np.frombuffer(b"".join(words[j] for j in part), dtype=np.uint8)]
-            row, none, wide = np.array(part), np.iinfo(np.int32).max, np.arange(ids.shape[1] - 1)
+    def exact_many(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, the word each is of) of exact() of words of SHORT bytes at most: each round merges the best pair of every word that has one."""
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        order = np.argsort(sizes, kind="stable")
+        order = order[sizes[order] > 0]
+        none = np.iinfo(np.int32).max
+        tokens, of = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)]
 
-            def rank(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-                r = self.ranks.get(np.maximum(x, 0).astype(np.int64) * self.size + np.maximum(y, 0))
-                return np.where((x < 0) | (y < 0) | (r < 0), np.iinfo(np.int32).max, r).astype(np.int32)
+        def rank(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            r = self.ranks.get(np.maximum(x, 0).astype(np.int64) * self.size + np.maximum(y, 0))
+            return np.where((x < 0) | (y < 0) | (r < 0), none, r).astype(np.int32)
 
-            ranks = rank(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(part), -1)
+        for k in range(0, len(order), 4096):
+            row = order[k : k + 4096]
+            ids = np.full((len(row), sizes[row].max() + 1), -1, dtype=np.int32)
+            ids[np.arange(ids.shape[1]) < sizes[row, None]] = self.byte_id[np.frombuffer(b"".join([words[j] for j in row.tolist()]), dtype=np.uint8)]
+            wide = np.arange(ids.shape[1] - 1)
+            ranks = rank(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(row), -1)
             while len(row):
                 best = ranks.argmin(axis=1)
                 r = ranks[np.arange(len(row)), best]
                 done = r == none
                 if done.any():
-                    for j, x in zip(row[done].tolist(), ids[done], strict=True):
-                        out[j] = x[x >= 0].tolist()
+                    held = ids[done]
+                    tokens.append(held[held >= 0])
+                    of.append(np.repeat(row[done], (held >= 0).sum(axis=1)))
                     row, ids, ranks, best, r = row[~done], ids[~done], ranks[~done], best[~done], r[~done]
                     if not len(row):
                         break
@@ -267,36 +299,41 @@ class Merger:
                 ranks[n, best] = rank(ids[n, best], ids[n, best + 1])
                 left = np.flatnonzero(best)
                 ranks[left, best[left] - 1] = rank(ids[left, best[left] - 1], ids[left, best[left]])
-        return out
+        return np.concatenate(tokens).astype(np.int64), np.concatenate(of)
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Guesses all words, tests all seams at once, merges exactly the words with a failing seam."""
+        flat, ends = (x.tolist() for x in self.encode_flat(words))
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def encode_flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(the words' tokens one after the other, where each word's end).
+
+        Guesses all words, tests all seams at once, merges exactly the words with a failing seam.
+        """
         raw = [w.encode() for w in words]
+        sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+
+        def each(how: Callable[[bytes], list[int]], some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            made = [how(raw[k]) for k in some.tolist()]
+            return np.fromiter(chain.from_iterable(made), dtype=np.int64), np.repeat(some, [len(x) for x in made])
+
         if not self.testable:
-            return [self.exact(w) for w in raw]
-        short = [k for k, w in enumerate(raw) if len(w) <= SHORT]
-        flat, of = self.guesses([raw[k] for k in short])
-        if len(short) < len(raw):
-            long = [k for k in range(len(raw)) if len(raw[k]) > SHORT]
-            more = [self.greedy(raw[k]) for k in long]
-            flat = np.concatenate([flat, np.fromiter(chain.from_iterable(more), dtype=np.int64)])
-            of = np.concatenate([of, np.repeat(np.arange(len(long)) + len(short), [len(g) for g in more])])
-            short += long
+            flat, of = each(self.exact, np.arange(len(raw)))
+            return flat, np.cumsum(np.bincount(of, minlength=len(raw)))
+        short, long = np.flatnonzero(sizes <= SHORT), np.flatnonzero(sizes > SHORT)
+        flat, of = self.guesses([raw[k] for k in short.tolist()])
+        more, whose = each(self.greedy, long)
+        flat, of = np.concatenate([flat, more]), np.concatenate([short[of], whose])
         seam = np.flatnonzero(of[1:] == of[:-1])
         pairs, back = np.unique(flat[seam] * self.size + flat[seam + 1], return_inverse=True)
-        failed = np.unique(of[seam[~self.compatible(pairs // self.size, pairs % self.size)[back]]]).tolist()
-        starts, flat_ids = np.searchsorted(of, np.arange(len(raw) + 1)).tolist(), flat.tolist()
-        out: list[list[int]] = [[]] * len(raw)
-        for k, j in enumerate(short):
-            out[j] = flat_ids[starts[k] : starts[k + 1]]
-        redo = [short[k] for k in failed]
-        few = [j for j in redo if len(raw[j]) <= SHORT]
-        for j, ids in zip(few, self.exact_many([raw[j] for j in few]), strict=True):
-            out[j] = ids
-        for j in redo:
-            if len(raw[j]) > SHORT:
-                out[j] = self.exact(raw[j])
-        return out
+        failed = np.zeros(len(raw), dtype=bool)
+        failed[of[seam[~self.compatible(pairs // self.size, pairs % self.size)[back]]]] = True
+        few = np.flatnonzero(failed & (sizes <= SHORT))
+        again, at = self.exact_many([raw[k] for k in few.tolist()])
+        more, whose = each(self.exact, np.flatnonzero(failed & (sizes > SHORT)))
+        stay = ~failed[of]
+        flat, of = np.concatenate([flat[stay], again, more]), np.concatenate([of[stay], few[at], whose])
+        return flat[np.argsort(of, kind="stable")], np.cumsum(np.bincount(of, minlength=len(raw)))
 
 
 def decimal(ids: list[int]) -> bytes:
@@ -307,53 +344,70 @@ def packed(ids: list[int]) -> bytes:
     return np.array(ids, dtype=np.int32).tobytes()
 
 
+class Numbers(dict):
+    """word -> its number, in the order of their first looks."""
+
+    def __missing__(self, word: object) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Encoder:
     """Encodes and decodes texts with a Merger, keeping the tokens of the words seen last, as bytes in the form of `show`."""
 
     def __init__(self, merger: Merger, show: Callable[[list[int]], bytes] = packed) -> None:
-        self.merger, self.show, self.words = merger, show, regex.compile(PATTERN).findall
-        self.shown: dict[object, bytes] = {}
-        self.raw: dict[object, bytes] = {}
+        self.merger, self.show, self.glue = merger, show, b"," if show is decimal else b""
+        self.named = [show([t]) for t in range(merger.size)]
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(merger.specials, key=len, reverse=True))) + ")") if merger.specials else None
-        self._forget()
-
-    def _forget(self) -> None:
-        self.shown.clear()
-        self.raw.clear()
-        for text, t in self.merger.specials.items():  # keys that no word equals
-            self.shown[(text,)], self.raw[(text,)] = self.show([t]), text.encode()
+        self.numbers, self.shown, self.raw = Numbers(), [], []
+        for text, t in merger.specials.items():  # keys that no word equals
+            self.numbers[(text,)] = len(self.numbers)
+            self.shown.append(show([t]))
+            self.raw.append(text.encode())
 
     def split(self, text: str) -> list:
         """The words of a text and, as tuples, its control strings."""
         if self.special is None or not self.special.search(text):
-            return self.words(text)
+            return cut(text)
         parts = self.special.split(text)
-        return list(chain.from_iterable([(p,)] if k % 2 else self.words(p) for k, p in enumerate(parts)))
-
-    def learn(self, split: list[list]) -> None:
-        """Tokens for the words of these texts that are not known yet, in one call of encode_words: its tests are vectorised."""
-        seen = set(chain.from_iterable(split))
-        new = [w for w in seen if w not in self.shown]
-        if len(self.shown) + len(new) > KEPT_WORDS:
-            known = [(w, self.shown[w], self.raw[w]) for w in seen if w in self.shown]
-            self._forget()
-            for w, a, b in known:
-                self.shown[w], self.raw[w] = a, b
-        if new:
-            bytes_of = self.merger.bytes_of
-            for w, ids in zip(new, self.merger.encode_words(new), strict=True):
-                self.shown[w], self.raw[w] = self.show(ids), b"".join(map(bytes_of.__getitem__, ids))
-
-    def groups(self, texts: Iterator[str]) -> Iterator[tuple[list[bytes], list[bytes]]]:
+        return list(chain.from_iterable([(p,)] if k % 2 else cut(p) for k, p in enumerate(parts)))
+
+    def learn(self, split: list[list]) -> np.ndarray:
+        """The numbers of all words of these texts; words not known yet get tokens in one call of encode_flat: its tests are vectorised."""
+        known = len(self.shown)
+        found = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), dtype=np.int64)
+        if len(self.numbers) > max(known, KEPT_WORDS):  # only the words of these texts stay, and control strings
+            held, fixed = list(self.numbers), len(self.merger.specials)
+            stay = np.union1d(np.arange(fixed), found)
+            found = np.searchsorted(stay, found)
+            stay = stay.tolist()
+            self.numbers = Numbers(zip(map(held.__getitem__, stay), range(len(stay)), strict=False))
+            self.shown, self.raw = ([x[k] for k in stay if k < known] for x in (self.shown, self.raw))
+            known = len(self.shown)
+        if len(self.numbers) > known:
+            flat, ends = self.merger.encode_flat(list(self.numbers)[known:])
+            self.shown += self._cut(flat, ends, self.named, self.glue)
+            self.raw += self._cut(flat, ends, self.merger.bytes_of, b"")
+        return found
+
+    @staticmethod
+    def _cut(flat: np.ndarray, ends: np.ndarray, names: list[bytes], glue: bytes) -> list[bytes]:
+        """The names of each word's tokens joined: all are joined once and cut where words end."""
+        whole = glue.join(map(names.__getitem__, flat.tolist()))
+        sizes = np.fromiter(map(len, names), dtype=np.int64, count=len(names)) + len(glue)
+        upto = np.concatenate([[0], np.cumsum(sizes[flat])])[np.concatenate([[0], ends])]
+        return [whole[a:b] for a, b in zip(upto[:-1].tolist(), np.maximum(upto[:-1], upto[1:] - len(glue)).tolist(), strict=True)]
+
+    def groups(self, texts: Iterable[str]) -> Iterator[tuple[list[bytes], list[bytes]]]:
         """(shown tokens, decoded bytes) of the texts, about GROUP_CHARS characters at a time."""
-        glue = b"," if self.show is decimal else b""
         split: list[list] = []
         chars = 0
         for text in chain(texts, [None]):
             if split and (text is None or chars + len(text) > GROUP_CHARS):
-                self.learn(split)
+                found, at = self.learn(split).tolist(), [0, *accumulate(map(len, split))]
                 shown, raw = self.shown.__getitem__, self.raw.__getitem__
-                yield [glue.join(map(shown, w)) for w in split], [b"".join(map(raw, w)) for w in split]
+                words = [found[a:b] for a, b in zip(at, at[1:], strict=False)]
+                yield [self.glue.join(map(shown, w)) for w in words], [b"".join(map(raw, w)) for w in words]
                 split, chars = [], 0
             if text is not None:
                 split.append(self.split(text))
@@ -415,4 +469,4 @@ def encode_table(documents: DataFrame, vocabulary: str, digests: bool = False) -
                     columns = [ids, list_array(shown, pa.list_(pa.int32()), pa.int32(), 4), list_array([utf8(x) for x in raw], pa.string())]
                     yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tokens", "decoded"])
 
-    return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, {made}")
+    return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(thrifty(run, keep=True), f"doc_id {kind}, {made}")

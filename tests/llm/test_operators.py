@@ -217,6 +217,20 @@ def test_bpe_exact_merging_and_speculation_agree():
     assert m.encode_words(words) == [m.exact(w.encode()) for w in words]
 
 
+def test_bpe_cuts_words_and_joins_tokens_as_before():
+    P = pytest.importorskip("public_tokenizers")
+    whole = bpe.regex.compile(bpe.PATTERN).findall
+    odd = "".join(chr(c) + ("a'll 1" if c % 3 else " \t") for c in range(1 << 16) if not 0xD800 <= c < 0xE000)
+    for text in (odd, "it's we'LL  'x ''ve \x1c\x1d \x85y\n\n z ", "½Ⅷ 一二 　 ", "a 😀𝒳 1𝟙 \u2028", ""):
+        assert bpe.cut(text) == whole(text)
+    m = bpe.load(P.path("byte_bpe_50k.json"))
+    words = ["the", "", " zqxjkvw", "é" * 40, "q" * 70, " don", "zqxjkvwzqxjkvw"]
+    flat, ends = m.encode_flat(words)
+    assert [flat[a:b].tolist() for a, b in zip([0, *ends], ends)] == [m.exact(w.encode()) for w in words]
+    got = bpe.Encoder(m, bpe.decimal)
+    assert got._cut(flat, ends, got.named, got.glue) == [bpe.decimal(m.exact(w.encode())) for w in words]
+
+
 def fingerprint_of(text):
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda c: c[0].lower(), text or "")) if x]
     if not w:
