@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: Bytes of the texts that a Python worker turns into strings, hashes and sets at once, about; a longer text is a piece by itself.
 PIECE_BYTES = 1_000_000
+#: Bytes of an Arrow batch that goes to a Python worker, about.
+BATCH_BYTES = 4_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -75,6 +77,18 @@ def pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Record
             at += max(1, upto - at)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark send rows to Python workers in Arrow batches of about BATCH_BYTES; a row of more is a batch by itself.
+
+    Spark's own limit is 64 MB, and an executor and its workers hold several batches of every running task. Plans read the
+    setting when they run, so it stays with the session; a smaller one is kept. It changes no result.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(name, None)
+    if held is None or spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(held) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def give_back() -> None:
     """Return the memory that Arrow and the C library hold free: a worker outlives its tasks and else keeps the most it ever took."""
     pa.default_memory_pool().release_unused()

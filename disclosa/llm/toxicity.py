@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import groupby
 
 import numpy as np
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from disclosa.llm.common import discard, free_shuffles, kept_by_worker, materialise, pieces, thrifty
+from disclosa.llm.common import discard, free_shuffles, give_back, kept_by_worker, materialise, pieces, small_batches, thrifty
 from disclosa.llm.hashed import coder, held_out, scored, training_rows
 
 BITS, DIM, WIDTHS, FILTERS = 18, 8, (1, 2, 3), 6
@@ -44,7 +44,12 @@ FALSE_RATE = 0.005
 #: Words responded to at once; a longer text is taken in overlapping pieces.
 PIECE = 8192
 
-words = coder(r"\w+", lower=True)
+def fresh() -> Callable[[str | None], np.ndarray]:
+    """A function from a text to the hashes of its words; what it keeps of words goes with it."""
+    return coder(r"\w+", lower=True)
+
+
+words = fresh()
 
 
 def places(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,6 +67,11 @@ class Model:
     thresholds: dict[str, float] = field(default_factory=dict)
     squares: np.ndarray | None = None  # of the table's gradients; training only
 
+    def copy(self) -> Model:
+        """The same in double precision, in arrays of its own, to be trained on."""
+        wide = lambda x: x.astype(np.float64)
+        return replace(self, table=wide(self.table), kernels=[wide(k) for k in self.kernels], bias=wide(self.bias), out=wide(self.out), squares=wide(self.squares))
+
     def project(self) -> list[np.ndarray]:
         """For each width and offset what a table row adds to the filters' responses."""
         return [np.concatenate([self.table @ k[j] for j in range(len(k))], axis=1) for k in self.kernels]
@@ -216,17 +226,18 @@ def learned(rows: DataFrame, model: Model, mean: float, learners: int, epochs: i
 
     Shares and their order depend on the ids alone. A learner holds the hashes of its own rows.
     """
-    shipped = rows.sparkSession.sparkContext.broadcast(pickle.dumps(model))  # of fixed size
+    shipped = rows.sparkSession.sparkContext.broadcast(replace(model, table=model.table.astype(np.float32), squares=model.squares.astype(np.float32)))  # of fixed size
+
+    def learner(who: int, group: Iterator[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+        _, y, texts = zip(*group, strict=True)
+        made = parts(train(shipped.value.copy(), list(texts), np.array(y, dtype=np.float64), mean, epochs, seed=5 + turn), shipped.value.squares, len(y))
+        return pa.RecordBatch.from_arrays([pa.array([who] * len(made), pa.int32()), pa.array(range(len(made)), pa.int32()), pa.array(made, pa.binary())], names=["who", "part", "model"])
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = ((w, y, np.asarray(c.values, dtype=np.int64)) for x in found for w, y, c in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), x.column(2), strict=True))
         for who, group in groupby(each, key=lambda x: x[0]):
-            _, y, texts = zip(*group, strict=True)
-            start = pickle.loads(shipped.value)
-            start.table, start.squares = start.table.astype(np.float64), start.squares.astype(np.float64)
-            before = start.squares.copy()
-            made = parts(train(start, list(texts), np.array(y, dtype=np.float64), mean, epochs, seed=5 + turn), before, len(y))
-            yield pa.RecordBatch.from_arrays([pa.array([who] * len(made), pa.int32()), pa.array(range(len(made)), pa.int32()), pa.array(made, pa.binary())], names=["who", "part", "model"])
+            yield learner(who, group)  # whose rows and model are gone before the next one's come
+            give_back()
 
     def join(held: pa.Table) -> pa.Table:
         held = held.sort_by("who")
@@ -279,8 +290,9 @@ def coded_rows(rows: DataFrame) -> DataFrame:
     bits = (1 << 2 * BITS) - 1
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = fresh()
         for batch in pieces(found, 3):
-            codes = pa.array([words(t.as_py()) & bits for t in batch.column(3)], pa.list_(pa.int64()))
+            codes = pa.array([code(t.as_py()) & bits for t in batch.column(3)], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], codes], names=["doc_id", "y", "lang", "codes"])
 
     made = rows.select("doc_id", "y", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(thrifty(run), f"doc_id {kind}, y int, lang string, codes array<long>")
@@ -289,10 +301,10 @@ def coded_rows(rows: DataFrame) -> DataFrame:
 
 def counted_scores(rows: DataFrame, model: Model) -> DataFrame:
     """lang, y, step, n: rows(y, lang, codes) of each step of the score."""
-    shipped = rows.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    shipped = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pickle.loads(shipped.value)
+        held = shipped.value
         projected = held.project()
         for batch in found:
             score = np.array([held.score(np.asarray(c.values, dtype=np.int64), projected) for c in batch.column(2)], dtype=np.float64)
@@ -304,6 +316,7 @@ def counted_scores(rows: DataFrame, model: Model) -> DataFrame:
 def fit(documents: DataFrame, labels: DataFrame) -> Model:
     """Learns on all labelled rows outside the held-out fold: those set apart give the thresholds, the others train."""
     spark = documents.sparkSession
+    small_batches(spark)
     coded = materialise(coded_rows(training_rows(documents, labels, "toxic", (MODULUS, HELD), None)), "coded")
     free_shuffles(spark)
     train_on = coded.where("not apart")
@@ -332,12 +345,12 @@ def bound(model: Model) -> Column:
 
 def scored_rows(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """doc_id, the columns in keep (text may be one of them) and score of every row, without a join."""
-    packed = pickle.dumps(model)  # the table has a fixed size
-    shipped, key = documents.sparkSession.sparkContext.broadcast(packed), hashlib.sha256(packed).hexdigest()
+    small_batches(documents.sparkSession)
+    shipped, key = documents.sparkSession.sparkContext.broadcast(model), hashlib.sha256(pickle.dumps(model)).hexdigest()  # the table has a fixed size
 
     def score(texts: list[str | None]) -> np.ndarray:
-        held, projected = kept_by_worker(key, lambda: (m := pickle.loads(shipped.value), m.project()))
-        return np.array([held.score(words(t), projected) for t in texts], dtype=np.float64)
+        projected, code = kept_by_worker(key, lambda: (shipped.value.project(), fresh()))
+        return np.array([shipped.value.score(code(t), projected) for t in texts], dtype=np.float64)
 
     return scored(documents, "score", score, keep)
 

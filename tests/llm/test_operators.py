@@ -1,6 +1,7 @@
 """The training-data operators on small tables with nulls, empty texts, ties, repeated rows, clashing columns, no rows."""
 
 import hashlib
+import pickle
 import re
 
 import numpy as np
@@ -722,5 +723,35 @@ def test_a_worker_holds_a_piece_of_its_texts_and_lets_go(spark, monkeypatch):
     assert most <= common.PIECE_BYTES // 2000  # was a whole batch of 3,000 rows
 
 
+def test_workers_get_small_batches(spark):
+    name, most = "spark.sql.execution.arrow.maxBytesPerBatch", lambda: table.mapInArrow(size, "n long").agg(F.max("n")).first()[0]
+    table = spark.range(0, 6000, 1, 1).select(F.expr("repeat('x', 2000)").alias("text"))
+
+    def size(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    try:
+        spark.conf.unset(name)
+        d, labels = labelled(spark, 40)
+        toxicity.fit(d, labels)
+        assert most() <= common.BATCH_BYTES + 10_000  # was all 12 MB
+        spark.conf.set(name, "1m")
+        toxicity.scored_rows(d, toxicity.silent(), [])
+        assert most() <= 1_100_000  # a smaller limit stays
+    finally:
+        spark.conf.unset(name)
+
+
+def test_a_learner_trains_on_arrays_of_its_own():
+    shipped = toxicity.untrained()
+    shipped.table, shipped.squares = shipped.table.astype(np.float32), shipped.squares.astype(np.float32)
+    before = pickle.dumps(shipped)
+    rng = np.random.default_rng(1)
+    texts, y = [rng.integers(0, 2**36, 50) for _ in range(8)], np.array([0.0, 1.0] * 4)
+    got, whole = toxicity.train(shipped.copy(), texts, y, 0.5, 2), toxicity.train(toxicity.untrained(), texts, y, 0.5, 2)
+    assert pickle.dumps(shipped) == before and all((a == b).all() for a, b in zip([got.table, got.squares, *got.kernels], [whole.table, whole.squares, *whole.kernels], strict=True))
+
+
 def test_digest_of_nothing(spark):
     assert spark.range(1).select(digest(F.lit(""))).first()[0] == hashlib.sha256(b"").hexdigest()
