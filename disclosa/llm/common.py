@@ -109,8 +109,9 @@ def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Have executors delete the shuffle files of ended jobs now: Spark does so only when the driver collects its garbage."""
+    """Have executors delete the shuffle files of ended jobs now: Spark does so only when the driver collects its garbage, whose own memory goes too."""
     gc.collect()  # Python's references to the driver's objects
+    give_back()
     spark.sparkContext._jvm.System.gc()
 
 
