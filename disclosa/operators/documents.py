@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from disclosa.functions import grid, sections
-from disclosa.functions.text import consolidation, is_footnote, let, period_text, squeeze, strip, unit_text
+from disclosa.functions.text import consolidation, is_footnote, let, period_text, squeeze, strip, title_level, unit_text
 
 
 def nodes(parsed: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def nodes(parsed: DataFrame) -> DataFrame:
     numbered = events.withColumn("order_index", F.row_number().over(file.orderBy("seq")) - 1).withColumns(
         {"total": F.count("*").over(file), "kind": F.when(F.col("kind") == "fallback", "paragraph").otherwise(F.col("kind")), "plain": F.col("kind") != "fallback", "text": F.when(F.col("kind") == "fallback", F.col("text")).otherwise(strip(F.col("text")))}
     )
-    titles = F.array_sort(F.collect_list(F.when(F.col("kind") == "section", F.struct(F.col("order_index").alias("at"), F.col("text").alias("title")))))
+    titles = F.array_sort(F.collect_list(F.when(F.col("kind") == "section", F.struct(F.col("order_index").alias("at"), F.col("text").alias("title"), title_level(F.col("text")).cast("int").alias("own")))))
     trees = numbered.groupBy("doc_id", "rel_path").agg(titles.alias("titles"), F.max("total").cast("int").alias("total"))
     tree = trees.select("doc_id", "rel_path", sections.fold(F.col("titles"), F.col("total")).alias("t"))
     ends = F.map_from_entries("t.ends")

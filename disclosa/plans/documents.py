@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from disclosa.functions import grid, sections
-from disclosa.functions.text import distinct_neighbours, row_line
+from disclosa.functions.text import distinct_neighbours, let, row_line, title_level
 from disclosa.operators import documents as docs
 from disclosa.plans.catalog import query, table
 from disclosa.sources import parser
@@ -20,14 +20,16 @@ SQL_T = f"""t AS (SELECT l_orderkey AS f, row_number() OVER (PARTITION BY l_orde
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    at = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*KEY_ORDER)) - 1
-    return li.select(F.col("l_orderkey").alias("f"), at.alias("at"), F.expr(NAMES.replace("VARCHAR", "STRING")).alias("title"))
+    """f, at, title, own; dealt by f, so what is gathered or ordered by f next needs no further shuffle."""
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("f"), *KEY_ORDER)
+    at = F.row_number().over(Window.partitionBy("f").orderBy(*KEY_ORDER)) - 1
+    named = li.select("f", at.alias("at"), F.expr(NAMES.replace("VARCHAR", "STRING")).alias("title"))
+    return named.withColumn("own", title_level(F.col("title")).cast("int"))
 
 
-def trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = titles(spark, sf_dir).groupBy("f").agg(F.array_sort(F.collect_list(F.struct("at", "title"))).alias("t"), F.count("*").cast("int").alias("n"))
-    return held.select("f", sections.fold(F.col("t"), F.col("n")).alias("r"))
+def trees(spark: SparkSession, sf_dir: str, ends: bool = False) -> DataFrame:
+    held = titles(spark, sf_dir).groupBy("f").agg(F.array_sort(F.collect_list(F.struct("at", "title", "own"))).alias("t"), F.count("*").cast("int").alias("n"))
+    return held.select("f", sections.fold(F.col("t"), F.col("n") if ends else None).alias("r"))
 
 
 @query(f"WITH {SQL_T} SELECT a.f, a.pos AS \"at\", a.level, a.confident, max(b.pos) AS parent FROM l a LEFT JOIN l b ON a.f = b.f AND b.pos < a.pos AND b.level < a.level GROUP BY 1, 2, 3, 4")
@@ -39,7 +41,7 @@ def section_tree_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {SQL_T} SELECT a.f, a.pos AS \"at\", coalesce(min(b.pos) - 1, max(n.n) - 1) AS end_at FROM l a LEFT JOIN l b ON a.f = b.f AND b.pos > a.pos AND b.level <= a.level JOIN (SELECT f, count(*) AS n FROM l GROUP BY 1) n ON n.f = a.f GROUP BY 1, 2")
 def section_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = trees(spark, sf_dir).select("f", F.explode("r.ends").alias("e"))
+    e = trees(spark, sf_dir, ends=True).select("f", F.explode("r.ends").alias("e"))
     return e.select("f", F.col("e.at").cast("long").alias("at"), F.col("e.end").cast("long").alias("end_at"))
 
 
@@ -55,11 +57,13 @@ def hierarchy_path(spark: SparkSession, sf_dir: str) -> DataFrame:
  k AS (SELECT f, pos, row_number() OVER (PARTITION BY f ORDER BY pos) AS nth FROM r WHERE contains(path, 'part 1') OR contains(path, 'II. ')) SELECT f, pos AS "at" FROM k WHERE nth <= 3""")
 def section_keyword_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first three nodes of each file whose hierarchy or own title holds a keyword."""
-    s = trees(spark, sf_dir).select("f", F.explode("r.sections").alias("s"))
-    path = F.concat_ws(" / ", F.array_join("s.hierarchy", " / "), "s.title")
-    hit = s.where(F.exists(F.array(F.lit("part 1"), F.lit("II. ")), lambda k: path.contains(k)))
-    nth = F.row_number().over(Window.partitionBy("f").orderBy("s.at"))
-    return hit.withColumn("nth", nth).where("nth <= 3").select("f", F.col("s.at").cast("long").alias("at"))
+
+    def hit(s: Column) -> Column:
+        return let(F.array_join(F.array_append(s["hierarchy"], s["title"]), " / "), lambda path: path.contains("part 1") | path.contains("II. "))
+
+    # The sections of a file are in order already.
+    first = trees(spark, sf_dir).select("f", F.explode(F.slice(F.filter("r.sections", hit), 1, 3)["at"]).alias("at"))
+    return first.select("f", F.col("at").cast("long").alias("at"))
 
 
 #: A table is an order: rows are quantities modulo 4, a tag and spans come from the line.

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from disclosa.functions import grid, text
+from disclosa.functions import grid, sections, text
 from disclosa.operators import assembly, cases, corpus, documents, grounding, search, sessions
 from disclosa.sources import corpus as sources
 from disclosa.sources import parser
@@ -99,6 +99,31 @@ def test_sections_and_nodes(spark):
     assert nodes[7].section_hierarchy == ["III. a", "2. c", "2-1. d"]
 
 
+def test_fold_of_long_files_against_a_stack(spark):
+    import random
+
+    draw, files = random.Random(7), [[]]
+    for n in (1, 2, 40, 300):
+        files += [[draw.choice((0, 0, 1, 2, 3)) for _ in range(n)], [0] * n, [draw.choice((2, 3)) for _ in range(n)]]
+
+    def wanted(owns):
+        rows, ends, held, level = [], {}, [], 0
+        for k, own in enumerate(owns):
+            level = own or level + 1
+            while held and held[-1][0] >= level:
+                ends[held.pop()[1]] = 2 * k - 1
+            rows.append((2 * k, f"t{k}", level, own > 0, held[-1][1] if held else None, [f"t{at // 2}" for _, at in held]))
+            held.append((level, 2 * k))
+        return rows, ends | {at: 2 * len(owns) for _, at in held}
+
+    given = spark.createDataFrame([(f, [(2 * k, f"t{k}", own) for k, own in enumerate(owns)], 2 * len(owns) + 1) for f, owns in enumerate(files)], "f int, t array<struct<at:int,title:string,own:int>>, n int")
+    got = given.select("f", sections.fold(F.col("t"), F.col("n")).alias("r"), sections.fold(F.col("t")).alias("bare")).collect()
+    for row in got:
+        rows, ends = wanted(files[row.f])
+        assert [tuple(x) for x in row.r.sections] == rows and [tuple(x) for x in row.bare.sections] == rows
+        assert {x.at: x.end for x in row.r.ends} == ends and len(row.r.ends) == len(ends)
+
+
 def test_broken_rows_are_quarantined(spark):
     bad = b"<html><table><tr><td rowspan='x'>a</td></tr></table></html>"
     good, failed = sources.quarantine(parser.parse_files(files(spark, ("d", "a.xml", bad), ("e", "b.xml", b"%PDF"))))

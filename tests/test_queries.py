@@ -27,6 +27,15 @@ def test_scan_reads_what_is_asked_for(spark, sf_dir):
     assert "PushedFilters: [IsNotNull(ts), LessThanOrEqual(ts" in plan and "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in plan
 
 
+@pytest.mark.parametrize("name", ["section_keyword_select"])
+def test_titles_are_dealt_and_numbered_once(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution()
+    assert plan.executedPlan().toString().count("Exchange hashpartitioning") == 1
+    # The three patterns of title_level, outside the fold, where each mention is matched for every title.
+    shown = plan.optimizedPlan().toString()
+    assert shown.count("RLIKE") == 3 and shown.count("Window [") == 1
+
+
 def test_entry(spark):
     import __spark_entry__
 
