@@ -48,8 +48,9 @@ def section_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH RECURSIVE {SQL_T}, p AS (SELECT a.f, a.pos, max(b.pos) AS parent FROM l a LEFT JOIN l b ON a.f = b.f AND b.pos < a.pos AND b.level < a.level GROUP BY 1, 2),
  r AS (SELECT f, pos, parent, '' AS path FROM p WHERE parent IS NULL UNION ALL SELECT p.f, p.pos, p.parent, CASE WHEN r.path = '' THEN '' ELSE r.path || ' / ' END || l.title FROM p JOIN r ON p.f = r.f AND p.parent = r.pos JOIN l ON l.f = r.f AND l.pos = r.pos) SELECT f, pos AS "at", path FROM r""")
 def hierarchy_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = trees(spark, sf_dir).select("f", F.explode("r.sections").alias("s"))
-    return s.select("f", F.col("s.at").cast("long").alias("at"), F.array_join("s.hierarchy", " / ").alias("path"))
+    # Paths are joined before sections become rows, so rows carry nothing else of them.
+    paths = F.transform("r.sections", lambda s: F.struct(s["at"].cast("long").alias("at"), F.array_join(s["hierarchy"], " / ").alias("path")))
+    return trees(spark, sf_dir).select("f", F.inline(paths))
 
 
 @query(f"""WITH RECURSIVE {SQL_T}, p AS (SELECT a.f, a.pos, max(b.pos) AS parent FROM l a LEFT JOIN l b ON a.f = b.f AND b.pos < a.pos AND b.level < a.level GROUP BY 1, 2),
